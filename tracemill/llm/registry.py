@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracemill.llm import exact_dedup, sharding
+from tracemill.llm import bpe, exact_dedup, packing, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken")).drop("same")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(_table(spark, sf_dir, "documents"))
 
@@ -22,6 +31,8 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
+    "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
 }
