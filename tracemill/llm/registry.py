@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracemill.llm import bpe, exact_dedup, packing, sharding
+from tracemill.llm import bpe, exact_dedup, packing, quality_rules, secret_scan, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,14 +30,25 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(_table(spark, sf_dir, "documents"), 40)
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.findings(_table(spark, sf_dir, "documents")).drop("found")
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(quality_rules.ledger(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
+    "op9_quality_rules": quality_rules.ORACLE,
     "op4_exact_dedup": r"""
         WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, text_sha256
