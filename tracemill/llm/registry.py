@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracemill.llm import bpe, exact_dedup, packing, quality_rules, secret_scan, sharding
+from tracemill.llm import bpe, exact_dedup, packing, quality_rules, secret_scan, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(quality_rules.ledger(_table(spark, sf_dir, "documents")))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_packing": op3_packing,
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
