@@ -1,0 +1,42 @@
+"""Joins that a large group can't unbalance."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tracemill.session import parallelism
+
+HOT_SHARE = 200
+
+
+def salted_left_join(rows: DataFrame, keys: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """rows left join keys on key, where keys has one row a key and weight says how many rows have it.
+
+    Keys of over 1/HOT_SHARE of all rows (so fewer than HOT_SHARE; these alone are broadcast) are spread over salts.
+    """
+    hot = keys.where(F.col(weight) * HOT_SHARE > max(total, 100_000)).select(F.col(key).alias("__tm_hot"))
+    salts = max(2, parallelism(rows.sparkSession) // 2)
+    mark = lambda df, salt: df.join(F.broadcast(hot), F.col(key) == F.col("__tm_hot"), "left").withColumn("__tm_salt", salt).drop("__tm_hot")
+    is_hot = F.col("__tm_hot").isNotNull()
+    left = mark(rows, F.when(is_hot, F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")).otherwise(0))
+    right = mark(keys.drop(weight), F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return left.join(right, [key, "__tm_salt"], "left").drop("__tm_salt")
+
+
+def without(docs: DataFrame, doc_id: str, mark, verdict: DataFrame) -> DataFrame:
+    """docs, all columns, without what verdict (doc_id, mark, kept) refuses; verdict may leave out rows that stay anyway.
+
+    mark is a column of docs that tells apart rows with one id. Of rows that agree in both, one stays if any is kept.
+    """
+    gone = verdict.groupBy("doc_id", "mark").agg(F.max("kept").alias("__tm_some"), F.count(F.lit(1)).alias("__tm_n")).where("not __tm_some or __tm_n > 1")
+    gone = gone.select(F.col("doc_id").alias("__tm_id"), F.col("mark").alias("__tm_mark"), "__tm_some")
+    keyed = docs.withColumns({"__tm_i": F.col(f"`{doc_id}`").cast("bigint"), "__tm_m": mark})
+    same = F.col("__tm_i").eqNullSafe(F.col("__tm_id")) & F.col("__tm_m").eqNullSafe(F.col("__tm_mark"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    out = keyed.join(gone, same, "left_anti").select(*columns)
+    again = gone.where("__tm_some")
+    if again.isEmpty():
+        return out
+    one = keyed.join(again, same, "left_semi").groupBy("__tm_i", "__tm_m").agg(F.first(F.struct(*columns)).alias("__tm_row"))
+    return out.unionByName(one.select(*[F.col("__tm_row").getField(c).alias(c) for c in docs.columns]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracemill.llm import bpe, exact_dedup, packing, quality_classifier, quality_rules, secret_scan, sharding, toxicity
+from tracemill.llm import bpe, exact_dedup, near_dedup, packing, quality_classifier, quality_rules, secret_scan, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(_table(spark, sf_dir, "documents"), 40)
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(_table(spark, sf_dir, "documents")).drop("mark")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.findings(_table(spark, sf_dir, "documents")).drop("found")
 
@@ -52,12 +56,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
+    "op6_near_dedup": op6_near_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_near_dedup": near_dedup.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
     "op4_exact_dedup": r"""
         WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
