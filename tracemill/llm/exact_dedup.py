@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracemill.llm._joins import salted_left_join, without
 from tracemill.session import parallelism, ship, stable
 
 SPACES = r"[\x20\x09-\x0D]+"
 SLOTS = 4
-HOT_SHARE = 200
 KEYS = "digest binary, keep_id bigint, live bigint, at_keep bigint"
 _FLUSH = 500_000
 
@@ -226,16 +226,11 @@ def delete(index: DataFrame, docs: DataFrame, **names: str) -> DataFrame:
 
 def assign(rows: DataFrame) -> DataFrame:
     """(doc_id, digest) -> doc_id, digest, keep_id, group_size, kept; one row per row. rows must be cheap to read again."""
-    spark = rows.sparkSession
     keys = stable(index_shards(partial_keys(rows)), "dedup-keys")
     total = keys.agg(F.sum("live"), F.max("at_keep")).first()
     n, repeated = total[0] or 0, (total[1] or 0) > 1
-    hot = keys.where(F.col("live") * HOT_SHARE > max(n, 100_000)).select(F.col("digest").alias("hot_digest"))  # fewer than HOT_SHARE rows
-    salts = max(2, parallelism(spark) // 2)
-    salted = lambda df, id_: df.join(F.broadcast(hot), F.col("digest") == F.col("hot_digest"), "left").withColumn("salt", id_).drop("hot_digest")
-    left = salted(rows, F.when(F.col("hot_digest").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")).otherwise(0))
-    right = salted(keys, F.explode(F.when(F.col("hot_digest").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-    joined = left.join(right, ["digest", "salt"]).select("doc_id", "digest", "keep_id", F.col("live").alias("group_size"), "at_keep", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"))
+    named = keys.select("digest", "keep_id", F.col("live").alias("group_size"), "at_keep", F.col("live").alias("weight"))
+    joined = salted_left_join(rows, named, "digest", "weight", n).select("doc_id", "digest", "keep_id", "group_size", "at_keep", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"))
     if not repeated:
         return joined.drop("at_keep")
     plain = joined.where(~(F.col("kept") & (F.col("at_keep") > 1))).drop("at_keep")
@@ -256,13 +251,5 @@ def drop_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     Only copies are named in the join, by id and digest, so that it isn't skewed by a large group.
     """
     rows = stable(digests(docs, text, doc_id), "dedup-digests")
-    verdict = stable(assign(rows).where("group_size > 1").select("doc_id", "digest", "kept"), "dedup-copies")
-    gone = verdict.where("not kept").select(F.col("doc_id").alias("__tm_id"), F.col("digest").alias("__tm_digest")).distinct()
-    keyed = docs.withColumns({"__tm_i": F.col(f"`{doc_id}`").cast("bigint"), "__tm_d": digest(F.col(f"`{text}`"))})
-    same = F.col("__tm_i").eqNullSafe(F.col("__tm_id")) & (F.col("__tm_d") == F.col("__tm_digest"))
-    out = keyed.join(gone, same, "left_anti")
-    again = verdict.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.min("kept").alias("all_kept")).where("kept and not all_kept").select(F.col("doc_id").alias("__tm_id"), F.col("digest").alias("__tm_digest"))
-    if not again.isEmpty():  # rows that repeat id and text: the anti join took them all, one comes back
-        one = keyed.join(again, same, "left_semi").groupBy("__tm_i", "__tm_d").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__tm_row"))
-        out = out.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(one.select(*[F.col("__tm_row")[c].alias(c) for c in docs.columns]))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    verdict = stable(assign(rows).where("group_size > 1").select("doc_id", F.col("digest").alias("mark"), "kept"), "dedup-copies")
+    return without(docs, doc_id, digest(F.col(f"`{text}`")), verdict)
