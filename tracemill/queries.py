@@ -66,21 +66,23 @@ def _traces(spark: SparkSession, sf_dir: str) -> DataFrame:
 # redaction and scalars
 
 
-#: RE2 takes a letter beyond ASCII for no word character, so it would leave the separator before one that \b lets CARD take.
-_DUCK_PATTERNS = [(n, p, rf"<{n}>") for n, p in redact.PATTERNS.items()]
-_DUCK_PATTERNS.insert(next(i for i, x in enumerate(_DUCK_PATTERNS) if x[0] == "CARD"), ("CARD", r"\b(?:\d[- ]?){12,18}\d[- ]([^\x00-\x7F])", r"<CARD>\1"))
+#: RE2 takes a letter beyond ASCII for no word character; for CARD's \b such letters stand between ASCII ones meanwhile.
+_DUCK_STEPS: list[tuple[str, str, str]] = [(n, p, f"<{n}>") for n, p in redact.PATTERNS.items()]
+_CARD = [x[0] for x in _DUCK_STEPS].index("CARD")
+_DUCK_STEPS[_CARD : _CARD + 1] = [("", r"([^\x00-\x7F])", r"Zq\1qZ"), _DUCK_STEPS[_CARD], ("", r"Zq([^\x00-\x7F])qZ", r"\1")]
 
 
 def _duck_redacted() -> str:
-    return reduce(lambda t, p: f"regexp_replace({t}, '{p[1]}', '{p[2]}', 'g')", _DUCK_PATTERNS, "text")
+    return reduce(lambda t, p: f"regexp_replace({t}, '{p[1]}', '{p[2]}', 'g')", _DUCK_STEPS, "text")
 
 
 def _duck_counts() -> str:
-    text, out = "text", {}
-    for name, pattern, new in _DUCK_PATTERNS:
-        out.setdefault(name, []).append(f"len(regexp_extract_all({text}, '{pattern}'))")
+    text, out = "text", []
+    for name, pattern, new in _DUCK_STEPS:
+        if name:
+            out.append(f"len(regexp_extract_all({text}, '{pattern}'))::BIGINT AS n_{name.lower()}")
         text = f"regexp_replace({text}, '{pattern}', '{new}', 'g')"
-    return ", ".join(f"({' + '.join(n)})::BIGINT AS n_{name.lower()}" for name, n in out.items())
+    return ", ".join(out)
 
 
 _DOCS_DUCK = f"d AS (SELECT doc_id, text || {_SECRETS} AS text FROM documents)"
