@@ -88,7 +88,7 @@ def batch_chat(backend: ChatBackend, items: list[tuple[str, str]], workers: int
 
 
 def call(prompts: DataFrame, make: Callable[[], ChatBackend], seqs: int = 8, retries: int = 2, name: str = "chat") -> DataFrame:
-    """prompts (system, user and any other columns) with answer and error. seqs bounds the calls of the whole job at a time."""
+    """prompts (system, user and any other columns) with chat_reply and chat_error. seqs bounds the calls of the whole job at a time."""
     spark = prompts.sparkSession
     ship(spark)
     tasks = max(1, min(seqs, spark.sparkContext.defaultParallelism))
@@ -100,7 +100,7 @@ def call(prompts: DataFrame, make: Callable[[], ChatBackend], seqs: int = 8, ret
             for at in range(0, len(part), 256):
                 some = part.iloc[at : at + 256]
                 done = batch_chat(backend, list(zip(some["system"], some["user"], strict=True)), workers, retries)
-                yield some.assign(answer=[a for a, _ in done], error=[e for _, e in done])
+                yield some.assign(chat_reply=[a for a, _ in done], chat_error=[e for _, e in done])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prompts.schema.fields) + ", answer string, error string"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prompts.schema.fields) + ", chat_reply string, chat_error string"
     return stable(prompts.repartition(tasks, F.xxhash64("user")).mapInPandas(run, schema), name)

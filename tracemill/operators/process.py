@@ -47,9 +47,8 @@ def _stage(spans: DataFrame, mode: str, level: str, make: Callable[[], ChatBacke
     user = (compress_user if mode == "compress" else invert_user)(F.col("problem"), F.col("answer"), text)
     system = prompts.compress_prompt(level) if mode == "compress" else prompts.invert_prompt()
     done = call(spans.withColumns({"system": F.lit(system), "user": user}), make, seqs, retries, f"chat-{mode}")
-    reply = F.col("chat_answer")
-    done = done.toDF(*["chat_answer" if i == len(done.columns) - 2 else c for i, c in enumerate(done.columns)])  # spans have an answer of their own
-    return done.withColumn("processed", F.when(F.length(strip(F.coalesce(reply, F.lit("")))) > 0, reply).otherwise(text)).drop("system", "user", "chat_answer", "error")
+    reply = F.col("chat_reply")
+    return done.withColumn("processed", F.when(F.length(strip(F.coalesce(reply, F.lit("")))) > 0, reply).otherwise(text)).drop("system", "user", "chat_reply", "chat_error")
 
 
 def process(spans: DataFrame, mode: str = "rules", level: str = "lite", make: Callable[[], ChatBackend] | None = None, seqs: int = 1, retries: int = 2) -> DataFrame:

@@ -48,8 +48,8 @@ def validate(spans: DataFrame, mode: str, make: Callable[[], ChatBackend], mirro
         raise ValueError("mirrors must be at least 1")
     asked = spans.select("trace_idx", "span_idx", F.lit(prompts.validate_prompt()).alias("system"), judge_user(F.col("problem"), F.col("answer"), judge_mode(mode), F.col("text"), F.col("processed")).alias("user"), F.explode(F.sequence(F.lit(1), F.lit(mirrors))).alias("judge_no"))
     replies = call(asked, make, seqs, retries, "chat-validate")
-    failed = F.struct(F.lit(0.0).alias("signal"), *[F.lit(0.0).alias(a) for a in AXES], F.concat(F.lit("call_error: "), F.col("error")).alias("notes"))
-    grades = replies.select("trace_idx", "span_idx", "judge_no", F.when(F.col("error").isNotNull(), failed).otherwise(parse_grade(F.coalesce("answer", F.lit("")))).alias("grade"))
+    failed = F.struct(F.lit(0.0).alias("signal"), *[F.lit(0.0).alias(a) for a in AXES], F.concat(F.lit("call_error: "), F.col("chat_error")).alias("notes"))
+    grades = replies.select("trace_idx", "span_idx", "judge_no", F.when(F.col("chat_error").isNotNull(), failed).otherwise(parse_grade(F.coalesce("chat_reply", F.lit("")))).alias("grade"))
     return worst(grades, ["trace_idx", "span_idx"])
 
 
