@@ -41,6 +41,8 @@ _random = np.random.default_rng(20)
 _FACTORS = _random.integers(1, 2**63, COORDINATES, dtype=np.uint64) | np.uint64(1)
 #: A pivot's members are tested in blocks of about so many.
 _BLOCK = 5_000
+#: Up to so many pairs, the ids in them (16 bytes a pair) are broadcast.
+_FEW = 50_000
 
 
 def shingle_set(text: str) -> np.ndarray:
@@ -117,7 +119,7 @@ def prefix_lists(classes: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, members: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """node, sig, shingles of the members (doc_id, node, sig): a second pass over the texts, which only works on theirs.
+    """node, shingles of the members (doc_id, node): a second pass over the texts, which only works on theirs.
 
     Members are recognised by a bitmap of their ids of at most 32 MB, then by an exact join.
     """
@@ -147,34 +149,47 @@ def full_sets(docs: DataFrame, members: DataFrame, text: str, doc_id: str) -> Da
 
     texts = docs.select(docs[doc_id].cast("bigint").alias("doc_id"), docs[text].alias("text")).withColumn("spot", place(F.col("doc_id")))
     found = texts.mapInArrow(run, "doc_id bigint, node bigint, shingles binary")
-    joined = found.join(members.withColumnRenamed("doc_id", "first_id"), (found["node"] == members["node"]) & found["doc_id"].eqNullSafe(F.col("first_id"))).select(found["node"], "sig", "shingles")
-    return joined.groupBy("node").agg(F.first("sig").alias("sig"), F.first("shingles").alias("shingles"))  # repeated rows
+    # compared so that the ids are no join key: the sets then lie by node, as the last step wants them
+    equal = F.coalesce(F.col("doc_id").bitwiseXOR(F.col("first_id")) == 0, F.col("doc_id").isNull() & F.col("first_id").isNull())
+    joined = found.join(members.select("node", F.col("doc_id").alias("first_id")), "node").where(equal)
+    return joined.groupBy("node").agg(F.first("shingles").alias("shingles"))  # repeated rows
+
+
+def _colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        one, other = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, COORDINATES) for i in (3, 4))
+        keep = pa.array((one == other).sum(1) >= MATCHES)
+        yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(3)], ["a", "b", "salts"])
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        a, b, sig_a, sig_b, set_a, set_b = batch.columns
-        linked = []
-        for i in range(batch.num_rows):
-            one, other = (np.frombuffer(s[i].as_buffer(), np.uint32) for s in (sig_a, sig_b))
-            linked.append(int((one == other).sum()) >= MATCHES and similar(np.frombuffer(set_a[i].as_buffer(), np.uint64), np.frombuffer(set_b[i].as_buffer(), np.uint64)))
+        a, b, set_a, set_b = batch.columns
+        linked = [similar(np.frombuffer(set_a[i].as_buffer(), np.uint64), np.frombuffer(set_b[i].as_buffer(), np.uint64)) for i in range(batch.num_rows)]
         keep = pa.array(linked, pa.bool_())
         yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], ["a", "b"])
 
 
-def _links(lists: DataFrame, pivots: DataFrame, sets: DataFrame) -> DataFrame:
+def _links(lists: DataFrame, pivots: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between members (key, node, n, label, size) and pivots (key, pivot, pivot_n, pivot_label, salts) of one list."""
     salt = lambda who: F.pmod(F.xxhash64(who), F.col("salts")).cast("int")
     spread = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), (F.col("size") / _BLOCK).cast("int"))))
     members = lists.withColumn("salt", F.pmod(F.xxhash64("node"), (F.col("size") / _BLOCK).cast("int") + 1).cast("int"))
     near = (100 * F.least("n", "pivot_n") >= SIMILAR * F.greatest("n", "pivot_n")) & (F.col("label") != F.col("pivot_label"))
     pairs = members.drop("size").join(spread.drop("size"), ["key", "salt"]).where(near)
-    pairs = pairs.groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.max("salts").alias("salts"))
-    pairs = pairs.join(pivots.groupBy(F.col("pivot").alias("b")).agg(F.max("salts").alias("all_salts")), "b").select("a", "b", F.col("all_salts").alias("salts"))
-    right = pivots.groupBy(F.col("pivot").alias("b")).agg(F.max("salts").alias("salts")).join(sets.withColumnRenamed("node", "b"), "b")
-    right = right.select("b", F.col("sig").alias("sig_b"), F.col("shingles").alias("set_b"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    both = pairs.withColumn("salt", salt("a")).join(sets.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"), F.col("shingles").alias("set_a")), "a").join(right, ["b", "salt"])
-    return both.select("a", "b", "sig_a", "sig_b", "set_a", "set_b").mapInArrow(_confirmed, "a bigint, b bigint")
+    pairs = pairs.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    per_pivot = pivots.groupBy(F.col("pivot").alias("b")).agg(F.max("salts").alias("salts"))
+    sig = lambda who: signatures.select(F.col("node").alias(who), F.col("sig").alias(f"sig_{who}"))
+    pairs = pairs.select("a", "b").join(sig("a"), "a").join(per_pivot.join(sig("b"), "b"), "b").select("a", "b", "salts", "sig_a", "sig_b").mapInArrow(_colliding, "a bigint, b bigint, salts int")
+    pairs = stable(pairs, "neardup-pairs")
+    n = pairs.count()
+    if n <= _FEW:  # at most twice as many ids, so only these pairs' sets are moved
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        sets = sets.join(F.broadcast(wanted), "node", "left_semi")
+    right = per_pivot.join(pairs.select("b").distinct(), "b", "left_semi").join(sets.withColumnRenamed("node", "b"), "b")
+    right = right.select("b", F.col("shingles").alias("set_b"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    both = pairs.withColumn("salt", salt("a")).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a").join(right, ["b", "salt"])
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(_confirmed, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -191,7 +206,7 @@ def components(edges: DataFrame) -> DataFrame:
         labels = following.select("node", "label")
 
 
-def link(classes: DataFrame, lists: DataFrame, sets: DataFrame) -> DataFrame | None:
+def link(classes: DataFrame, lists: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame | None:
     """node, label of all classes that are linked with another; None if none are."""
     labels: DataFrame | None = None
     rest = lists.join(classes.select("node", F.col("n_shingles").alias("n")), "node").select("key", "node", "n", "size")
@@ -206,7 +221,7 @@ def link(classes: DataFrame, lists: DataFrame, sets: DataFrame) -> DataFrame | N
         nth = F.row_number().over(Window.partitionBy("key").orderBy("node"))  # only the first few: grouped limits are taken before the shuffle
         pivots = rest.withColumn("nth", nth).where(F.col("nth") <= most).select("key", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("label").alias("pivot_label"), "size", ((F.col("size") / _BLOCK).cast("int") + 1).alias("salts"))
         pivots = stable(pivots, "neardup-pivots")
-        found = stable(_links(rest, pivots, sets), "neardup-links")
+        found = stable(_links(rest, pivots, members, sets), "neardup-links")
         rest = rest.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
         if not found.isEmpty():
             if labels is None:
@@ -218,7 +233,7 @@ def link(classes: DataFrame, lists: DataFrame, sets: DataFrame) -> DataFrame | N
                 moved = components(edges.where("a <> b").select("a", "b")).select(F.col("node").alias("label"), F.col("label").alias("to"))
                 known = labels.union(edges.select("x", "a")).union(edges.select("y", "b")).distinct()
                 labels = stable(known.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "neardup-labels")
-        most *= 4
+        most *= 8
 
 
 def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -231,7 +246,7 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     members = lists.select("node").distinct().join(classes, "node").select(F.col("first_id").alias("doc_id"), "node", "sig")
     members = stable(members, "neardup-members")
     sets = stable(full_sets(docs, members, text, doc_id), "neardup-sets")
-    labels = link(classes, lists, sets)
+    labels = link(classes, lists, members, sets)
     named = classes.select("node", "first_id", "copies")
     named = named.withColumn("label", F.col("node")) if labels is None else named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
