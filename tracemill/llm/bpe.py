@@ -225,7 +225,7 @@ class Utf8Machine:
     """Incremental UTF-8: bytes in, whole characters out; the state is the unfinished character at the end."""
 
     #: By lead byte, the bytes that a character has.
-    NEEDS = bytes(1 if b < 0xC0 else 2 if b < 0xE0 else 3 if b < 0xF0 else 4 for b in range(256))
+    NEEDS = bytes(1 if b < 0xC2 or b > 0xF4 else 2 if b < 0xE0 else 3 if b < 0xF0 else 4 for b in range(256))
 
     def __init__(self) -> None:
         self.pending = b""
@@ -284,6 +284,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
     if out.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"column {out} exists")
     ship(df.sparkSession)
+    names = [*df.columns, out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
@@ -292,7 +293,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
                 values = [coder.ids(t).astype(np.int32) for t in texts(part.column(part.num_columns - 1))]
                 ends = np.cumsum([0, *map(len, values)], dtype=np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *values])))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], [*df.columns, out])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", `{out}` array<int>"
     return df.select("*", F.col(f"`{text}`").alias("__tm_text")).mapInArrow(run, schema)
@@ -303,13 +304,14 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "text") -> Dat
     if out.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"column {out} exists")
     ship(df.sparkSession)
+    names = [*df.columns, out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = StreamingDecoder(encoder(path).transducer.vocabulary.bytes_of)
         for batch in batches:
             for part in _slices(batch):
                 done = [None if v.as_py() is None else decoder.text(v.values.to_numpy(zero_copy_only=False)) for v in part.column(part.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(done, pa.string())], [*df.columns, out])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(done, pa.string())], names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", `{out}` string"
     return df.select("*", F.col(f"`{ids}`").alias("__tm_ids")).mapInArrow(run, schema)

@@ -93,7 +93,7 @@ def roll(hashes: np.ndarray) -> np.ndarray:
 
 class Passage:
     def __init__(self, name: str, template: int, part: int, parts: int, words: list[bytes]):
-        self.name, self.template, self.part, self.parts, self.n_words = name, template, part, parts, len(words)
+        self.name, self.template, self.part, self.parts, self.words = name, template, part, parts, words
         self.shingles = np.unique(shingles(words))
         self.window = 1 << max(2, (len(words) - 1).bit_length())
 

@@ -53,7 +53,7 @@ IDENTITIES: dict[str, tuple[str, ...]] = {
     "es": ("musulmán", "cristiano", "judío", "homosexual", "negro", "árabe", "africano"),
     "es_people": ("mujer", "hombre", "inmigrante", "refugiado"),
 }
-_KIND = {term: kind for kind, terms in IDENTITIES.items() for term in terms}
+_KIND = {term: kind for kind, terms in reversed(IDENTITIES.items()) for term in terms}  # the first kind of a term counts
 _TERMS = sorted(_KIND)
 
 
