@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 _PACKAGE = Path(__file__).resolve().parent
 _shipped: set[str] = set()
 _written: list[tuple[SparkSession, str]] = []
+_at_exit: list[bool] = []
 
 
 def ship(spark: SparkSession) -> None:
@@ -52,6 +53,9 @@ def stable(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
+    if not _at_exit:  # registered after Spark's own hook, so it runs before that
+        _at_exit.append(True)
+        atexit.register(_release_all)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -64,6 +68,14 @@ def release(spark: SparkSession) -> None:
         _written.remove((owner, path))
 
 
+def _release_all() -> None:
+    for spark in list({id(s): s for s, _ in _written}.values()):
+        try:
+            release(spark)
+        except Exception:  # the session has ended: whoever owns the shared folder clears it
+            _written[:] = [x for x in _written if x[0] is not spark]
+
+
 def parallelism(spark: SparkSession) -> int:
     """Partitions for a shuffle that adaptive execution mustn't merge."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
