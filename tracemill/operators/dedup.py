@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.functions.text import strip
+from tracemill.operators.joins import salted_left_join
 from tracemill.session import stable
 
 SHINGLE = 5
@@ -54,9 +55,18 @@ def prefixes(sets: DataFrame, t: float) -> DataFrame:
     return mine.withColumn("room", room).where("room > 0").select("idx", F.explode(F.slice("l", F.lit(1), F.col("room"))).alias("x")).select(F.col("x.h").alias("h"), "idx")
 
 
-def pairs(rows: DataFrame, t: float, text: str = "text", idx: str = "doc_id") -> DataFrame:
-    """a, b (a < b), jaccard of all pairs of rows that reach t: a report for inspection, whose size is that of its answer."""
-    sets = stable(rows.select(F.col(idx).alias("idx"), shingles(F.col(text)).alias("s")).withColumn("n", F.size("s")).where("n > 0"), "pairs-sets")
+def classes(rows: DataFrame, text: str = "text", idx: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """(membership: idx, class_id, class_size; representatives: idx, n, s). Rows of one shingle set are a class, named by its least row."""
+    made = rows.select(F.col(idx).alias("idx"), F.sort_array(shingles(F.col(text))).alias("s"))
+    made = stable(made.select("idx", "s", F.size("s").alias("n"), F.sha2(F.array_join("s", ","), 256).alias("cls")).where("n > 0"), "class-sets")
+    firsts = stable(made.groupBy("cls").agg(F.min("idx").alias("idx"), F.count(F.lit(1)).alias("m"), F.first("n").alias("n"), F.first("s").alias("s")), "class-firsts")
+    named = firsts.select("cls", F.col("idx").alias("class_id"), F.col("m").alias("class_size"), F.col("m").alias("weight"))
+    membership = salted_left_join(made.select("idx", "cls"), named, "cls", "weight", made.count()).select(F.col("idx").alias(idx), "class_id", "class_size")
+    return membership, firsts.select("idx", "n", "s")
+
+
+def pairs(sets: DataFrame, t: float) -> DataFrame:
+    """a, b (a < b), jaccard of all pairs of class representatives (idx, n, s) that reach t."""
     lists = stable(prefixes(sets, t), "pairs-lists")
     other = lists.select("h", F.col("idx").alias("b"))
     found = lists.withColumnRenamed("idx", "a").join(other, "h").where("a < b").select("a", "b").distinct()
