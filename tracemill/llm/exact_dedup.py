@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm._joins import salted_left_join, without
+from tracemill.operators.joins import salted_left_join, without
 from tracemill.session import parallelism, ship, stable
 
 SPACES = r"[\x20\x09-\x0D]+"

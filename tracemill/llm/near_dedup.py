@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracemill.llm._joins import salted_left_join, without
+from tracemill.operators.joins import salted_left_join, without
 from tracemill.session import ship, stable
 
 SHINGLE = 5
