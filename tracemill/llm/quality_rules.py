@@ -28,7 +28,7 @@ RULES: list[tuple[str, str]] = [
     ("few_words", "n_words < 20"),
     ("repeated_words", "100 * n_repeat_words > 30 * n_words"),
     ("symbols", "100 * n_symbols > 15 * n_words"),
-    ("repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
+    ("repeated_lines", "n_dup_lines > 3 AND 100 * n_dup_lines > 30 * n_lines"),  # one line said twice makes no junk
     ("short_words", "word_chars < 2 * n_words"),
     ("long_words", "word_chars > 15 * n_words"),
 ]
@@ -121,6 +121,6 @@ ORACLE = r"""
                  (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(p.n, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines
           FROM w LEFT JOIN p USING (r)),
     f AS (SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
-                     + CASE WHEN 100 * n_symbols > 15 * n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
+                     + CASE WHEN 100 * n_symbols > 15 * n_words THEN 4 ELSE 0 END + CASE WHEN n_dup_lines > 3 AND 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
                      + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 15 * n_words THEN 32 ELSE 0 END)::BIGINT AS failures FROM m)
     SELECT *, failures & 3 <> 0 AS base_failed, failures = 0 AS kept FROM f"""
