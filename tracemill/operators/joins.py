@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.session import parallelism
+from tracemill.session import parallelism, stable
 
 HOT_SHARE = 200
 
@@ -28,15 +28,26 @@ def without(docs: DataFrame, doc_id: str, mark, verdict: DataFrame) -> DataFrame
     """docs, all columns, without what verdict (doc_id, mark, kept) refuses; verdict may leave out rows that stay anyway.
 
     mark is a column of docs that tells apart rows with one id. Of rows that agree in both, one stays if any is kept.
+    Rows are first held against a bitmap of the refused keys (16 bits a key, 64 MB at most, so its broadcast is bounded): what
+    it doesn't know stays where it is, and only the rest, the refused rows and a few others, is shuffled for the exact join.
+    With more refused keys than the bitmap can tell apart, more rows go that way; the result is the same.
     """
     gone = verdict.groupBy("doc_id", "mark").agg(F.max("kept").alias("__tm_some"), F.count(F.lit(1)).alias("__tm_n")).where("not __tm_some or __tm_n > 1")
-    gone = gone.select(F.col("doc_id").alias("__tm_id"), F.col("mark").alias("__tm_mark"), "__tm_some")
-    keyed = docs.withColumns({"__tm_i": F.col(f"`{doc_id}`").cast("bigint"), "__tm_m": mark})
+    gone = stable(gone.select(F.col("doc_id").alias("__tm_id"), F.col("mark").alias("__tm_mark"), "__tm_some"), "refused")
+    bits = 1 << min(29, max(20, (16 * gone.count()).bit_length()))
+    spot = lambda *c: F.pmod(F.xxhash64(*c), F.lit(bits))
+    place = spot("__tm_id", "__tm_mark") + 1
+    bitmap = gone.groupBy(F.bitmap_bucket_number(place).alias("__tm_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("__tm_bits"))  # at most 16,384 rows of 4 KB
+    keyed = docs.withColumns({"__tm_i": F.col(f"`{doc_id}`").cast("bigint"), "__tm_m": mark}).withColumn("__tm_spot", spot("__tm_i", "__tm_m"))
+    marked = keyed.withColumn("__tm_bucket", F.bitmap_bucket_number(F.col("__tm_spot") + 1)).join(F.broadcast(bitmap), "__tm_bucket", "left")
+    bit = F.expr("shiftright(cast(conv(hex(substring(__tm_bits, cast(__tm_spot % 32768 div 8 as int) + 1, 1)), 16, 10) as int), cast(__tm_spot % 8 as int)) & 1")
+    known = F.coalesce(bit == 1, F.lit(False))
     same = F.col("__tm_i").eqNullSafe(F.col("__tm_id")) & F.col("__tm_m").eqNullSafe(F.col("__tm_mark"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    out = keyed.join(gone, same, "left_anti").select(*columns)
+    asked = marked.where(known).drop("__tm_bits")
+    out = marked.where(~known).select(*columns).union(asked.join(gone, same, "left_anti").select(*columns))
     again = gone.where("__tm_some")
     if again.isEmpty():
         return out
-    one = keyed.join(again, same, "left_semi").groupBy("__tm_i", "__tm_m").agg(F.first(F.struct(*columns)).alias("__tm_row"))
+    one = asked.join(again, same, "left_semi").groupBy("__tm_i", "__tm_m").agg(F.first(F.struct(*columns)).alias("__tm_row"))
     return out.unionByName(one.select(*[F.col("__tm_row").getField(c).alias(c) for c in docs.columns]))
