@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracemill.operators.joins import salted_left_join, without
-from tracemill.session import ship, stable
+from tracemill.session import parallelism, ship, stable
 
 SHINGLE = 5
 COORDINATES, MATCHES = 48, 20
@@ -39,9 +39,11 @@ SIMILAR = 70
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(20)
 _FACTORS = _random.integers(1, 2**63, COORDINATES, dtype=np.uint64) | np.uint64(1)
-#: A pivot's members are tested in blocks of about so many.
-_BLOCK = 5_000
-#: Up to so many pairs, the ids in them (16 bytes a pair) are broadcast.
+#: Members of a block whose sets are moved together.
+_BLOCK = 32
+#: Members of a list to one salt.
+_SALTED = 5_000
+#: Up to so many wanted sets, their names (24 bytes each) are broadcast.
 _FEW = 50_000
 
 
@@ -119,7 +121,7 @@ def prefix_lists(classes: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, members: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """node, shingles of the members (doc_id, node): a second pass over the texts, which only works on theirs.
+    """node, sig, shingles of the members (doc_id, node, sig): a second pass over the texts, which only works on theirs.
 
     Members are recognised by a bitmap of their ids of at most 32 MB, then by an exact join.
     """
@@ -151,45 +153,57 @@ def full_sets(docs: DataFrame, members: DataFrame, text: str, doc_id: str) -> Da
     found = texts.mapInArrow(run, "doc_id bigint, node bigint, shingles binary")
     # compared so that the ids are no join key: the sets then lie by node, as the last step wants them
     equal = F.coalesce(F.col("doc_id").bitwiseXOR(F.col("first_id")) == 0, F.col("doc_id").isNull() & F.col("first_id").isNull())
-    joined = found.join(members.select("node", F.col("doc_id").alias("first_id")), "node").where(equal)
-    return joined.groupBy("node").agg(F.first("shingles").alias("shingles"))  # repeated rows
+    joined = found.join(members.select("node", F.col("doc_id").alias("first_id"), "sig"), "node").where(equal)
+    return joined.groupBy("node").agg(F.first("sig").alias("sig"), F.first("shingles").alias("shingles"))  # repeated rows
 
 
-def _colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        one, other = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, COORDINATES) for i in (3, 4))
-        keep = pa.array((one == other).sum(1) >= MATCHES)
-        yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(3)], ["a", "b", "salts"])
+def blocks(lists: DataFrame) -> DataFrame:
+    """node, block: members that share lists lie together, in blocks of about _BLOCK, so that a set moves once for many pairs."""
+    least = lists.groupBy("key").agg(F.min("node").alias("least"))
+    home = stable(lists.join(least, "key").groupBy("node").agg(F.min("least").alias("home")), "neardup-homes")
+    sizes = home.groupBy("home").agg(F.count(F.lit(1)).alias("n")).withColumn("weight", F.col("n"))
+    parts = salted_left_join(home, sizes, "home", "weight", home.count())
+    return stable(parts.select("node", F.xxhash64("home", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / _BLOCK))).alias("block")), "neardup-blocks")
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of two blocks come together: first the members with signature and set, then the pairs to test."""
+    at, held = None, {}
     for batch in batches:
-        a, b, set_a, set_b = batch.columns
-        linked = [similar(np.frombuffer(set_a[i].as_buffer(), np.uint64), np.frombuffer(set_b[i].as_buffer(), np.uint64)) for i in range(batch.num_rows)]
-        keep = pa.array(linked, pa.bool_())
-        yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], ["a", "b"])
-
-
-def _links(lists: DataFrame, pivots: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) between members (key, node, n, label, size) and pivots (key, pivot, pivot_n, pivot_label, salts) of one list."""
-    salt = lambda who: F.pmod(F.xxhash64(who), F.col("salts")).cast("int")
-    spread = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), (F.col("size") / _BLOCK).cast("int"))))
-    members = lists.withColumn("salt", F.pmod(F.xxhash64("node"), (F.col("size") / _BLOCK).cast("int") + 1).cast("int"))
+        first, second, kind, a, b = (batch.column(i).to_pylist() for i in range(5))
+        sig, shingles = batch.column(5), batch.column(6)
+        out: list[tuple[int, int]] = []
+        for i in range(batch.num_rows):
+            if (first[i], second[i]) != at:
+                at, held = (first[i], second[i]), {}
+            if kind[i] == 0:
+                held[a[i]] = np.frombuffer(sig[i].as_py(), np.uint32), np.frombuffer(shingles[i].as_py(), np.uint64)
+                continue
+            (sig_a, set_a), (sig_b, set_b) = held[a[i]], held[b[i]]
+            if int((sig_a == sig_b).sum()) >= MATCHES and similar(set_a, set_b):
+                out.append((a[i], b[i]))
+        yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in (0, 1)], ["a", "b"])
+
+
+def _links(lists: DataFrame, pivots: DataFrame, block_of: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between members (key, node, n, label, size) and pivots (key, pivot, pivot_n, pivot_label, size) of one list."""
+    split = (F.col("size") / _SALTED).cast("int")  # a long list's members are spread, its pivots repeated
+    spread = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), split)))
+    members = lists.withColumn("salt", F.pmod(F.xxhash64("node"), split + 1).cast("int"))
     near = (100 * F.least("n", "pivot_n") >= SIMILAR * F.greatest("n", "pivot_n")) & (F.col("label") != F.col("pivot_label"))
     pairs = members.drop("size").join(spread.drop("size"), ["key", "salt"]).where(near)
-    pairs = pairs.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    per_pivot = pivots.groupBy(F.col("pivot").alias("b")).agg(F.max("salts").alias("salts"))
-    sig = lambda who: signatures.select(F.col("node").alias(who), F.col("sig").alias(f"sig_{who}"))
-    pairs = pairs.select("a", "b").join(sig("a"), "a").join(per_pivot.join(sig("b"), "b"), "b").select("a", "b", "salts", "sig_a", "sig_b").mapInArrow(_colliding, "a bigint, b bigint, salts int")
-    pairs = stable(pairs, "neardup-pairs")
-    n = pairs.count()
-    if n <= _FEW:  # at most twice as many ids, so only these pairs' sets are moved
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        sets = sets.join(F.broadcast(wanted), "node", "left_semi")
-    right = per_pivot.join(pairs.select("b").distinct(), "b", "left_semi").join(sets.withColumnRenamed("node", "b"), "b")
-    right = right.select("b", F.col("shingles").alias("set_b"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    both = pairs.withColumn("salt", salt("a")).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a").join(right, ["b", "salt"])
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(_confirmed, "a bigint, b bigint")
+    pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    where = lambda who: block_of.select(F.col("node").alias(who), F.col("block").alias(f"block_{who}"))
+    pairs = stable(pairs.join(where("a"), "a").join(where("b"), "b"), "neardup-pairs")
+    side = lambda who: pairs.select("block_a", "block_b", F.col(who).alias("node"))
+    moved = side("a").union(side("b")).distinct()
+    n = moved.count()
+    if n <= _FEW:  # 24 bytes each: then only the sets that are wanted move
+        moved = F.broadcast(moved)
+    moved = sets.join(moved, "node").select("block_a", "block_b", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(None).cast("bigint").alias("b"), "sig", "shingles")
+    tested = pairs.select("block_a", "block_b", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("binary").alias("sig"), F.lit(None).cast("binary").alias("shingles"))
+    both = moved.union(tested).repartition(parallelism(pairs.sparkSession), "block_a", "block_b").sortWithinPartitions("block_a", "block_b", "kind")
+    return both.mapInArrow(_confirmed, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -206,9 +220,10 @@ def components(edges: DataFrame) -> DataFrame:
         labels = following.select("node", "label")
 
 
-def link(classes: DataFrame, lists: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame | None:
+def link(classes: DataFrame, lists: DataFrame, sets: DataFrame) -> DataFrame | None:
     """node, label of all classes that are linked with another; None if none are."""
     labels: DataFrame | None = None
+    block_of = blocks(lists)
     rest = lists.join(classes.select("node", F.col("n_shingles").alias("n")), "node").select("key", "node", "n", "size")
     most = 1
     while True:
@@ -219,9 +234,9 @@ def link(classes: DataFrame, lists: DataFrame, members: DataFrame, sets: DataFra
         if rest.isEmpty():
             return labels
         nth = F.row_number().over(Window.partitionBy("key").orderBy("node"))  # only the first few: grouped limits are taken before the shuffle
-        pivots = rest.withColumn("nth", nth).where(F.col("nth") <= most).select("key", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("label").alias("pivot_label"), "size", ((F.col("size") / _BLOCK).cast("int") + 1).alias("salts"))
+        pivots = rest.withColumn("nth", nth).where(F.col("nth") <= most).select("key", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("label").alias("pivot_label"), "size")
         pivots = stable(pivots, "neardup-pivots")
-        found = stable(_links(rest, pivots, members, sets), "neardup-links")
+        found = stable(_links(rest, pivots, block_of, sets), "neardup-links")
         rest = rest.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
         if not found.isEmpty():
             if labels is None:
@@ -246,7 +261,7 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     members = lists.select("node").distinct().join(classes, "node").select(F.col("first_id").alias("doc_id"), "node", "sig")
     members = stable(members, "neardup-members")
     sets = stable(full_sets(docs, members, text, doc_id), "neardup-sets")
-    labels = link(classes, lists, members, sets)
+    labels = link(classes, lists, sets)
     named = classes.select("node", "first_id", "copies")
     named = named.withColumn("label", F.col("node")) if labels is None else named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
