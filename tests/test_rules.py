@@ -14,12 +14,12 @@ def one(spark, text, expression):
 @pytest.mark.parametrize(
     ("text", "level", "expected"),
     [
-        ("Sure, let me think. Basically, the bug is just an off-by-one in the loop.", "lite", ". the bug is an off-by-one in the loop."),
-        ("In order to fix this, we need to make use of useMemo, due to the fact that React re-renders.", "lite", "to fix this, we need to use useMemo, because React re-renders."),
+        ("Okay, let me see. Clearly, this cache is really a stale one in memory.", "lite", ". this cache is a stale one in memory."),
+        ("We verify that it works in order to ship it, with respect to the plan, due to the fact that time is short.", "lite", "We check it works to ship it, re the plan, because time is short."),
         ("a\n\nb", "lite", "a b"),
         ("a\nb", "lite", "a\nb"),
         ('say "see /etc/x" now', "lite", 'say "see /etc/x" now'),
-        ("The bug is in the loop", "full", "The bug is in loop"),
+        ("The fault lies in the cable", "full", "The fault lies in cable"),
         ("cached so it is fast", "full", "cached -> it is fast"),
         ("look ```x = just 1``` and `very` at /usr/really/x", "lite", "look ```x = just 1``` and `very` at /usr/really/x"),
         ("It failed 'just because' of v1.2.3", "lite", "It failed 'just because' of v1.2.3"),

@@ -10,8 +10,20 @@ from tracemill.sources import export
 from tracemill.sources import traces as T
 
 
+def turn(speaker, words, **more):
+    return dict(role=speaker, content=words, **more)
+
+
+def block(kind, **more):
+    return dict(type=kind, **more)
+
+
+def talk(*turns):
+    return dict(messages=list(turns))
+
+
 def test_tagged_spans_with_rails():
-    trace = {"messages": [{"role": "system", "content": " be good "}, {"role": "user", "content": [{"type": "text", "text": "why"}, {"type": "image"}]}, {"role": "assistant", "content": "<Thinking>a</Thinking> x <reasoning>b</reasoning>", "reasoning": "ignored"}]}
+    trace = talk(turn("system", " be good "), turn("user", [block("text", text="why"), block("image")]), turn("assistant", "<Thinking>a</Thinking> x <reasoning>b</reasoning>", reasoning="ignored"))
     a, b = T.find_spans(trace)
     assert (a["source"], a["text"], b["source"], b["text"]) == ("tag:thinking", "a", "tag:reasoning", "b")
     assert a["problem"] == "be good\n\nwhy" and a["answer"] == "x"
@@ -20,22 +32,22 @@ def test_tagged_spans_with_rails():
 
 
 def test_blocks_and_fields():
-    trace = {"messages": [{"role": "model", "content": [{"type": "thinking", "thinking": "t"}, {"type": "text", "text": "<think>q</think> shown", "analysis": "an", "thought": " "}], "reasoning": "r"}]}
+    trace = talk(turn("model", [block("thinking", thinking="t"), block("text", text="<think>q</think> shown", analysis="an", thought=" ")], reasoning="r"))
     assert [(s["source"], s["text"]) for s in T.find_spans(trace)] == [("block:thinking", "t"), ("field:analysis", "an"), ("field:reasoning", "r")]
     assert T.find_spans(trace)[0]["answer"] == "shown"
-    plain = {"messages": [{"role": "assistant", "content": "answer", "reasoning": "why"}]}
+    plain = talk(turn("assistant", "answer", reasoning="why"))
     assert [s["source"] for s in T.find_spans(plain)] == ["field:reasoning"]
 
 
 def test_fallback_walk_anywhere():
     trace = {"conversations": [{"from": "gpt", "value": "<thought>deep</thought>"}], "meta": {"x": ["<think>n</think>"]}}
     assert [s["text"] for s in T.find_spans(trace)] == ["deep", "n"]
-    assert T.find_spans({"messages": [{"role": "gpt", "content": "<think attr=1>n</think>"}]}) == []
+    assert T.find_spans(talk(turn("gpt", "<think attr=1>n</think>"))) == []
 
 
 def test_equal_spans_are_rebuilt_by_place():
     text = "<think>x</think><think>x</think>"
-    trace = {"messages": [{"role": "assistant", "content": text}]}
+    trace = talk(turn("assistant", text))
     path = T.find_spans(trace)[0]["path"]
     assert T.patch(trace, [(path, "tag", "x"), (path, "tag", "y")])["messages"][0]["content"] == "<think>x</think><think>y</think>"
 
@@ -121,10 +133,10 @@ def test_process_modes(spark):
 
 
 GRADES = [
-    ('{"logical_fidelity":1.4,"content_fidelity":-0.2,"safety":0.7,"signal":2.0}', (1.0, 1.0, 0.0, 0.7), ""),
-    ('x {"logical_fidelity":0.9,"content_fidelity":0.8,"safety":0.4} y', (0.4, 0.9, 0.8, 0.4), ""),
-    ("not json", (0.0, 0.0, 0.0, 0.0), "parse_error"),
-    ('{"broken": ', (0.0, 0.0, 0.0, 0.0), "parse_error"),
+    (json.dumps({"safety": 0.7, "content_fidelity": -0.2, "logical_fidelity": 1.4, "signal": 2.0}), (1.0, 1.0, 0.0, 0.7), ""),
+    (f"x {json.dumps({'safety': 0.4, 'content_fidelity': 0.8, 'logical_fidelity': 0.9})} y", (0.4, 0.9, 0.8, 0.4), ""),
+    ("not json", (0.0,) * 4, "parse_error"),
+    ('{"broken": ', (0.0,) * 4, "parse_error"),
     ('{"logical_fidelity":"0.5","content_fidelity":true,"safety":[1],"signal":null,"notes":" n "}', (0.0, 0.5, 1.0, 0.0), "n"),
 ]
 
@@ -141,7 +153,7 @@ class Judge:
     def chat(self, system, user):
         if "explode" in user:
             raise RuntimeError("gone")
-        return json.dumps({"logical_fidelity": 1, "content_fidelity": 1, "safety": 0.5, "signal": 0.5})
+        return json.dumps(dict.fromkeys(("safety", "signal"), 0.5) | dict.fromkeys(("content_fidelity", "logical_fidelity"), 1))
 
 
 def test_validate_takes_the_worst_and_notes_errors(spark):
@@ -166,11 +178,9 @@ def test_exports(spark):
     assert u["score"] == 0.1235 and u["signal"] == -1.0
 
 
-SAMPLE = [
-    {"session_id": "a", "messages": [{"role": "user", "content": "why? mail bob@example.org"}, {"role": "assistant", "content": "<thinking>Okay, so basically it is just slow because of the missing index on the table</thinking>\nAdd an index on the table."}]},
-    {"session_id": "b", "messages": [{"role": "user", "content": "why? mail bob@example.org"}, {"role": "assistant", "content": "<thinking>Okay, so basically it is just slow because of the missing index on the table</thinking>\nAdd an index on the table."}]},
-    {"session_id": "c", "conversations": [{"role": "human", "content": "hi"}, {"role": "gpt", "content": "hello"}]},
-]
+ASKED = turn("user", "why? mail bob@example.org")
+REPLY = turn("assistant", "<thinking>Okay, so basically it is just slow because of the missing index on the table</thinking>\nAdd an index on the table.")
+SAMPLE = [talk(ASKED, REPLY) | {"session_id": name} for name in "ab"] + [{"conversations": [turn("human", "hi"), turn("gpt", "hello")]}]
 
 
 def run(spark, tmp_path, **options):

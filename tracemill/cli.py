@@ -10,43 +10,54 @@ from tracemill.operators.process import MODES, resolve_mode
 from tracemill.operators.redact import LEVELS
 
 
+_YES, _HIDDEN, _LEVELS = {"action": "store_true"}, {"help": argparse.SUPPRESS}, {"choices": ("lite", "full")}
+#: Names (the first is the attribute) and how each is read; the hidden ones are old names.
+_OPTIONS: dict[str, dict] = {
+    "input-dir": {},
+    "input-file": {},
+    "output-dir": {"default": "./curated"},
+    "mode process-mode": {"choices": MODES},
+    "level": _LEVELS,
+    "seqs": {"type": int},
+    "qaqc": _YES,
+    "qaqc-mirrors": {"default": 1, "type": int},
+    "model": {},
+    "anonymize-level": {"default": "strict", "choices": LEVELS},
+    "max-similarity": {"default": 0.92, "type": float},
+    "push-to-hub": _YES,
+    "repo-id": {"default": ""},
+    "public": _YES,
+    "compress-mode": {"choices": ("rules", "llm", "noop")} | _HIDDEN,
+    "caveman-level": _LEVELS | _HIDDEN,
+    "llm-concurrency": {"type": int} | _HIDDEN,
+}
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tracemill", description="Curate reasoning traces on Spark.")
     commands = top.add_subparsers(dest="command", required=True)
     run = commands.add_parser("run", help="curate JSONL traces")
-    run.add_argument("--input-dir")
-    run.add_argument("--input-file")
-    run.add_argument("--output-dir", default="./curated")
-    run.add_argument("--mode", "--process-mode", dest="mode", choices=MODES)
-    run.add_argument("--level", choices=("lite", "full"))
-    run.add_argument("--seqs", type=int)
-    run.add_argument("--qaqc", action="store_true")
-    run.add_argument("--qaqc-mirrors", type=int, default=1)
-    run.add_argument("--model")
-    run.add_argument("--anonymize-level", choices=LEVELS, default="strict")
-    run.add_argument("--max-similarity", type=float, default=0.92)
-    run.add_argument("--push-to-hub", action="store_true")
-    run.add_argument("--repo-id", default="")
-    run.add_argument("--public", action="store_true")
-    run.add_argument("--compress-mode", choices=("rules", "llm", "noop"), help=argparse.SUPPRESS)
-    run.add_argument("--caveman-level", choices=("lite", "full"), help=argparse.SUPPRESS)
-    run.add_argument("--llm-concurrency", type=int, help=argparse.SUPPRESS)
+    for names, settings in _OPTIONS.items():
+        run.add_argument(*[f"--{name}" for name in names.split()], **settings)
     show = commands.add_parser("prompt", help="print a system prompt")
     show.add_argument("name", choices=("lite", "full", "invert", "validate"))
     return top
 
 
+def _refuse(why: str) -> int:
+    print(f"error: {why}", file=sys.stderr)
+    return 2
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     if args.command == "prompt":
         print({"invert": prompts.invert_prompt, "validate": prompts.validate_prompt}.get(args.name, lambda: prompts.compress_prompt(args.name))())
         return 0
     if not (args.input_dir or args.input_file):
-        print("error: --input-dir or --input-file is needed", file=sys.stderr)
-        return 2
+        return _refuse("one of --input-file and --input-dir is needed")
     if args.push_to_hub and not args.repo_id:
-        print("error: --repo-id is needed with --push-to-hub", file=sys.stderr)
-        return 2
+        return _refuse("uploading takes a --repo-id")
     from pyspark.sql import SparkSession
 
     from tracemill.operators.chat import ChatConfig, HttpBackend

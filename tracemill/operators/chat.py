@@ -28,7 +28,13 @@ class Transient(Exception):
 
 
 class ChatBackend(Protocol):
-    def chat(self, system: str, user: str) -> str: ...
+    """Anything that answers one exchange; it raises Transient where another attempt may help."""
+
+    def chat(self, system: str, user: str, /) -> str: ...
+
+
+def _turn(speaker: str, words: str) -> dict[str, str]:
+    return {"role": speaker, "content": words}
 
 
 @dataclass(frozen=True)
@@ -48,9 +54,9 @@ class HttpBackend:
     def __init__(self, config: ChatConfig):
         self.config = config
 
-    def chat(self, system: str, user: str) -> str:
+    def chat(self, system, user):
         c = self.config
-        body = {"model": c.model, "max_tokens": c.max_tokens, "temperature": c.temperature, "messages": [{"role": "system", "content": system}, {"role": "user", "content": user}]}
+        body = {"model": c.model, "max_tokens": c.max_tokens, "temperature": c.temperature, "messages": [_turn("system", system), _turn("user", user)]}
         request = urllib.request.Request(c.endpoint.rstrip("/") + "/chat/completions", json.dumps(body).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {c.key}"})
         try:
             with urllib.request.urlopen(request, timeout=c.timeout) as response:

@@ -11,7 +11,7 @@ from tracemill.functions.text import estimate_tokens, strip
 from tracemill.operators import prompts, rules
 from tracemill.operators.chat import ChatBackend, call
 
-MODES = ("rules", "compress", "invert", "both", "noop")
+MODES = ("noop", "rules", "compress", "invert", "both")
 
 
 def resolve_mode(mode: str | None, legacy: str | None = None) -> str:

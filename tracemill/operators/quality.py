@@ -8,17 +8,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WEIGHTS = {"coherence": 0.15, "length": 0.15, "reasoning_depth": 0.20, "refusal": 0.15, "structure": 0.20, "tool_calls": 0.15}
+WEIGHTS = {name: parts / 20 for name, parts in {"coherence": 3, "length": 3, "reasoning_depth": 4, "refusal": 3, "structure": 4, "tool_calls": 3}.items()}
 _DEPTH_TAGS = ("<analyze>", "<reasoning>", "<scratchpad>", "<thinking>", "<thought>")
 _CALL_TAGS = ("<function_calls>", "<invoke>", "<tool_call>")
-REFUSAL = r"(?i)(?:not\s+(?:allowed|able)\s+to|unable\s+to|i\s+(?:do not|don't)\s+know|i'?m\s+sorry|i\s+can'?t?\s+(?:assist|do|help))"
-#: First match wins.
+
+
+def _spaced(pattern: str) -> str:
+    """A pattern in which each space stands for any white space."""
+    return pattern.replace(" ", r"\s+")
+
+
+REFUSAL = _spaced("(?i)(?:not (?:allowed|able) to|unable to|i (?:do not|don't) know|i'?m sorry|i can'?t? (?:assist|do|help))")
+#: First match wins. A * after a space means that it may be missing.
 ERRORS: dict[str, str] = {
-    "tool_failure": r"(?:traceback|error\s*:\s*\w+|command\s+not\s+found|exit\s+code\s+[1-9]|tool\s+(?:timeout|error|failed))",
-    "syntax_error": r"(?:unmatched\s+(?:brace|paren|bracket)|invalid\s+syntax|unexpected\s+token|parseerror|syntaxerror)",
-    "safety_refusal": r"(?:against\s+my\s+guidelines|i\s+(?:cannot|must)\s+decline|i'?m\s+(?:unable|not\s+able)|i\s+can'?t\s+(?:do|assist|help))",
-    "timeout_stall": r"(?:connection\s+reset|no\s+response|stalled|hung|deadline\s+exceeded|timed\s+out|timeout)",
-    "reasoning_error": r"(?:actually,?\s+(?:that\s+is|that's)\s+(?:incorrect|wrong)|i\s+was\s+(?:incorrect|wrong)|let\s+me\s+reconsider|that\s+was\s+wrong|i\s+made\s+an?\s+(?:error|mistake))",
+    name: "(?:" + _spaced("|".join(phrases)).replace(r"\s+*", r"\s*") + ")"
+    for name, phrases in {
+        "tool_failure": ("traceback", r"error *: *\w+", "command not found", "exit code [1-9]", "tool (?:timeout|error|failed)"),
+        "syntax_error": ("unmatched (?:brace|paren|bracket)", "invalid syntax", "unexpected token", "parseerror", "syntaxerror"),
+        "safety_refusal": ("against my guidelines", "i (?:cannot|must) decline", "i'?m (?:unable|not able)", "i can'?t (?:do|assist|help)"),
+        "timeout_stall": ("connection reset", "no response", "stalled", "hung", "deadline exceeded", "timed out", "timeout"),
+        "reasoning_error": ("actually,? (?:that is|that's) (?:incorrect|wrong)", "i was (?:incorrect|wrong)", "let me reconsider", "that was wrong", "i made an? (?:error|mistake)"),
+    }.items()
 }
 
 

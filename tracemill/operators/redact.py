@@ -15,10 +15,10 @@ PATTERNS: dict[str, str] = {
     "AWS_KEY": r"AKIA[A-Z0-9]{16}",
     "GH_TOKEN": r"ghp_[0-9A-Za-z]{36,}",
     "SSN": r"\b\d{3}-\d\d-\d{4}\b",
-    "CARD": r"\b(?:\d[- ]?){13,19}\b",
+    "CARD": r"\b\d(?:[- ]?\d){12,18}[- ]?\b",
     "HOME": r"/(?:Users|home)/[-.0-9A-Z_a-z]+",
     "IP": r"\b\d{1,3}(?:\.\d{1,3}){3}\b",
-    "PRIVATE_KEY": r"(?s)-----BEGIN [ A-Z]+ KEY-----.*?-----END [ A-Z]+ KEY-----",
+    "PRIVATE_KEY": r"(?s)-{5}BEGIN [ A-Z]+ KEY-{5}.*?-{5}END [ A-Z]+ KEY-{5}",
 }
 TOKEN = r"[-0-9A-Z_a-z]{24,}"
 BITS = 4.0
@@ -50,7 +50,7 @@ def redact(df: DataFrame, text: str = "text", level: str = "strict", counts: boo
     One projection a pattern: the next count needs this one's text, and stacked projections compute each text once.
     """
     if level not in LEVELS:
-        raise ValueError(f"unknown level: {level!r}")
+        raise ValueError(f"no such level of redaction: {level!r}")
     out, names = df.withColumn("redacted", F.col(text)), []
     for name, pattern in PATTERNS.items():
         names.append(f"n_{name.lower()}")

@@ -30,7 +30,7 @@ PROTECTED: list[str] = [
     r"(?U)/[-./\w]+",
     r"(?U)[A-Za-z]:\\[-.\\\w]+",
     *[rf"{q}[^\n{q}]{{0,200}}{q}" for q in ('"', "'")],
-    r"(?U)\b\d+(?:\.\d+)*\b",
+    r"(?U)\b\d+(?:[.]\d+)*\b",
 ]
 FILLER = "actually|basically|clearly|essentially|fundamentally|honestly|indeed|just|kind of|literally|obviously|quite|rather|really|simply|somewhat|sort of|very".split("|")
 HEDGES = "i believe|i guess|i suppose|i think|i'd say|i'm not sure but|if i recall correctly|it appears|it seems|it would seem|maybe|perhaps|possibly|probably".split("|")
@@ -64,7 +64,7 @@ REPLACEMENTS: list[tuple[str, str]] = [(phrase, short) for short, phrases in _SH
 
 def phrases(words: list[str]) -> str:
     """One regex for a list: longest first, with a comma and the white space after it."""
-    return r"(?i)\b(?:" + "|".join(sorted(words, key=lambda w: (-len(w), w))) + r")\b[ \t]*,?\s*"
+    return rf"(?i)\b(?:{'|'.join(sorted(words, key=lambda w: (-len(w), w)))})\b[\t ]*,?\s*"
 
 
 def _placeholder(number: Column) -> Column:
@@ -93,22 +93,22 @@ def restore(text: Column, originals: Column) -> Column:
 
 def shorten(text: Column, level: str = "lite") -> Column:
     """The phrase rules and the folding of white space, without protection."""
-    opener = r"(?im)(?:(?<=^)|(?<=[.!?]\s)|(?<=\n))(?:" + "|".join(OPENERS) + r")[-\s,!.:]+"
+    opener = rf"(?dim)(?:^|(?<=[!.?]\s))(?:{'|'.join(OPENERS)})[-\s,!.:]+"  # the flags make ^ the place after a line feed
     chain = [(opener, ""), *[(phrases(w), "") for w in (PLEASANTRIES, HEDGES, FILLER)], *[(rf"(?i)\b{p}\b", s) for p, s in REPLACEMENTS]]
     if level == "full":
-        chain += [(r"(?i)(?<=\S )\b(?:the|an|a)\b\s+", ""), (r"(?i)\b(?:so that|so)\b\s+", "-> ")]
+        chain += [(r"(?i)(?<=\S )(?:the|an?)\b\s+", ""), (r"(?i)\bso(?: that)?\b\s+", "-> ")]
     return fold_space(reduce(lambda t, rule: F.regexp_replace(t, F.lit(rule[0]), F.lit(rule[1])), chain, text))
 
 
 def fold_space(text: Column) -> Column:
-    steps = [(r"[ \t]+", " "), (r"[ \t]*\n[ \t]*", "\n"), (r"\n{3,}", "\n\n"), (r"(?U)\s+([.,;:!?])", "$1"), (r"(?U)\s{2,}", " ")]
+    steps = [(r"[\t ]+", " "), (r"[\t ]*(\n)[\t ]*", "$1"), (r"(\n\n)\n+", "$1"), (r"(?U)\s+([!,.:;?])", "$1"), (r"(?U)\s{2,}", " ")]
     return strip(reduce(lambda t, s: F.regexp_replace(t, F.lit(s[0]), F.lit(s[1])), steps, text))
 
 
 def compress(text: Column, level: str = "lite") -> Column:
     """Null stays null; blank text and text with NUL stay as they are."""
     if level not in LEVELS:
-        raise ValueError(f"unknown level: {level!r}")
+        raise ValueError(f"no such level: {level!r}")
     state = F.transform(F.array(protect(text)), lambda s: restore(shorten(s["txt"], level), s["originals"]))
     return F.when((F.length(strip(text)) == 0) | F.contains(text, F.lit("\0")), text).otherwise(state[0])
 

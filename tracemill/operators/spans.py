@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tracemill.functions.text import interleave, strip
 
 TAGS = ("analyze", "reasoning", "scratchpad", "think", "thinking", "thought")
-TAGGED = r"(?is)<(" + "|".join(TAGS) + r")>(.*?)</\1>"
+TAGGED = rf"(?is)<({'|'.join(TAGS)})>(.*?)</\1>"
 ASSISTANTS, ASKERS = ("assistant", "model"), ("system", "user", "human")
 
 

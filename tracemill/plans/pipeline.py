@@ -91,7 +91,7 @@ def curate(traces: DataFrame, options: Options) -> Curated:
     one = reports.run_rollup(rollup).first()
     kept = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("composite"), F.lit(0.0)).alias("score")).first()
     errors = {r["error_class"]: r["n"] for r in reports.error_histogram(rows).collect()}  # six classes
-    stats = RunStats(one["traces_in"], kept["n"], one["spans"], one["tokens_before"], one["tokens_after"], one["redactions"], one["avg_signal"], kept["score"], errors)
+    stats = RunStats(one["avg_signal"], kept["score"], one["traces_in"], one["tokens_before"], one["redactions"], one["tokens_after"], one["spans"], kept["n"], errors)
     return Curated(stats, rollup, rows)
 
 
@@ -122,9 +122,10 @@ def push_to_hub(output_dir: str, repo_id: str, private: bool = True, api=None) -
         raise ValueError("a repository id is needed")
     if api is None:
         try:
-            from huggingface_hub import HfApi
+            import huggingface_hub
         except ImportError as e:
             raise SystemExit("huggingface_hub is not installed") from e
-        api = HfApi()
-    api.create_repo(repo_id, repo_type="dataset", private=private, exist_ok=True)
-    api.upload_folder(folder_path=output_dir, repo_id=repo_id, repo_type="dataset")
+        api = huggingface_hub.HfApi()
+    kind = {"repo_type": "dataset"}
+    api.create_repo(repo_id, exist_ok=True, private=private, **kind)
+    api.upload_folder(repo_id=repo_id, folder_path=output_dir, **kind)

@@ -14,14 +14,14 @@ from tracemill.functions.text import saved_percent
 
 @dataclass
 class RunStats:
+    avg_signal: float = 0.0
+    mean_score: float = 0.0
     traces_in: int = 0
-    traces_out: int = 0
-    spans: int = 0
     original_tokens: int = 0
-    compressed_tokens: int = 0
     redactions: int = 0
-    avg_signal: float = 0.0
-    mean_score: float = 0.0
+    compressed_tokens: int = 0
+    spans: int = 0
+    traces_out: int = 0
     errors: dict[str, int] = field(default_factory=dict)
 
     @property
@@ -60,7 +60,8 @@ def report_lines(report: DataFrame) -> DataFrame:
     return report.select("trace_idx", line.alias("line"))
 
 
-REPORT_HEAD = ["# Processing report", "", "| trace | spans | tokens_before | tokens_after | saved % | signal |", "|-------|-------|---------------|--------------|---------|--------|"]
+_COLUMNS = "trace,spans,tokens_before,tokens_after,saved %,signal".split(",")
+REPORT_HEAD = ["# Processing report", "", f"| {' | '.join(_COLUMNS)} |", "|" + "---|" * len(_COLUMNS)]
 
 
 def card(stats: RunStats, repo_id: str = "") -> str:

@@ -130,8 +130,8 @@ def _duck_rules(text: str, full: bool) -> str:
     quote = lambda s: s.replace("'", "''")
     chain = [(r"(?im)(^|[.!?]\s|\n)(?:" + "|".join(rules.OPENERS) + r")[-\s,!.:]+", r"\1"), *[(rules.phrases(w), "") for w in (rules.PLEASANTRIES, rules.HEDGES, rules.FILLER)], *[(rf"(?i)\b{p}\b", s) for p, s in rules.REPLACEMENTS]]
     if full:
-        chain += [(r"(?i)(\S )(?:the|an|a)\b\s+", r"\1"), (r"(?i)\b(?:so that|so)\b\s+", "-> ")]
-    chain += [(r"[ \t]+", " "), (r"[ \t]*\n[ \t]*", chr(10)), (r"\n{3,}", chr(10) * 2), (r"\s+([.,;:!?])", r"\1"), (r"\s{2,}", " "), (r"^\s+|\s+$", "")]
+        chain += [(r"(?i)(\S )(?:the|an?)\b\s+", r"\1"), (r"(?i)\bso(?: that)?\b\s+", "-> ")]
+    chain += [(r"[\t ]+", " "), (r"[\t ]*(\n)[\t ]*", r"\1"), (r"(\n\n)\n+", r"\1"), (r"\s+([!,.:;?])", r"\1"), (r"\s{2,}", " "), (r"^\s+|\s+$", "")]
     return reduce(lambda t, c: f"regexp_replace({t}, '{quote(c[0])}', '{quote(c[1])}', 'g')", chain, text)
 
 

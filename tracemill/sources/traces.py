@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from tracemill.operators.spans import ASKERS, ASSISTANTS, TAGS
 from tracemill.session import ship, stable
 
-TAGGED = re.compile(r"<(" + "|".join(TAGS) + r")>(.*?)</\1>", re.S | re.I)
-BLOCK_FIELDS, MESSAGE_FIELDS = ("reasoning", "thought", "analysis"), ("reasoning", "thinking", "analysis", "thought")
+TAGGED = re.compile(rf"(?is)<({'|'.join(TAGS)})>(.*?)</\1>")
+BLOCK_FIELDS, MESSAGE_FIELDS = "reasoning thought analysis".split(), "reasoning thinking analysis thought".split()
 SPAN = "struct<span_idx:int,source:string,path:string,kind:string,tag:string,text:string,problem:string,answer:string>"
 MESSAGES = "array<struct<role:string,content:string>>"
 
@@ -30,6 +30,10 @@ def dumps(value: Any) -> str:
     return json.dumps(value, ensure_ascii=False)
 
 
+def canonical(value: Any) -> str:
+    return json.dumps(value, ensure_ascii=False, sort_keys=True)
+
+
 # reading
 
 
@@ -119,17 +123,25 @@ def messages(trace: dict) -> list:
 def content(message: dict) -> str:
     body = message.get("content")
     if isinstance(body, list):
-        return "\n".join(str(b.get("text", "") if isinstance(b, dict) else b) for b in body)
+        part = lambda block: block.get("text", "") if isinstance(block, dict) else block
+        return "\n".join(str(part(block)) for block in body)
     return body if isinstance(body, str) else ""
 
 
+def _texts(body: list) -> Iterator[Any]:
+    """What the text blocks hold."""
+    for block in body:
+        if isinstance(block, dict) and block.get("type") == "text":
+            yield block.get("text", "")
+
+
 def _said(message: Any) -> str | None:
     """An asker's words before a span, or None."""
     if not isinstance(message, dict) or message.get("role") not in ASKERS:
         return None
     body = message.get("content")
     if isinstance(body, list):
-        body = " ".join(str(b.get("text", "")) for b in body if isinstance(b, dict) and b.get("type") == "text")
+        body = " ".join(map(str, _texts(body)))
     return body.strip() or None if isinstance(body, str) else None
 
 
@@ -142,7 +154,7 @@ def _answer(message: dict) -> str:
     if isinstance(body, str):
         return _visible(body)
     if isinstance(body, list):
-        shown = [_visible(b["text"]) for b in body if isinstance(b, dict) and b.get("type") == "text" and isinstance(b.get("text"), str)]
+        shown = [_visible(words) for words in _texts(body) if isinstance(words, str)]
         return "\n\n".join(s for s in shown if s).strip()
     return ""
 
@@ -152,7 +164,7 @@ def _tagged(path: tuple, text: str) -> Iterator[dict]:
         yield {"source": "tag:" + match[1].lower(), "path": path, "kind": "tag", "tag": match[1], "text": match[2]}
 
 
-def _fields(path: tuple, holder: dict, names: tuple[str, ...]) -> Iterator[dict]:
+def _fields(path: tuple, holder: dict, names: list[str]) -> Iterator[dict]:
     for name in names:
         if isinstance(holder.get(name), str) and holder[name].strip():
             yield {"source": "field:" + name, "path": (*path, name), "kind": "field", "tag": None, "text": holder[name]}
@@ -166,8 +178,9 @@ def _of_message(path: tuple, message: dict) -> Iterator[dict]:
     for n, block in enumerate(body if isinstance(body, list) else ()):
         if isinstance(block, dict):
             here = (*path, "content", n)
-            if block.get("type") == "thinking" and isinstance(block.get("thinking"), str):
-                yield {"source": "block:thinking", "path": (*here, "thinking"), "kind": "field", "tag": None, "text": block["thinking"]}
+            inner = block.get("thinking")
+            if isinstance(inner, str) and block.get("type") == "thinking":
+                yield {"source": "block:thinking", "path": (*here, "thinking"), "kind": "field", "tag": None, "text": inner}
             yield from _fields(here, block, BLOCK_FIELDS)
     yield from _fields(path, message, MESSAGE_FIELDS)
 
@@ -175,7 +188,7 @@ def _of_message(path: tuple, message: dict) -> Iterator[dict]:
 def find_spans(trace: Any) -> list[dict]:
     """The reasoning spans, in order, each with path, kind and rails; anywhere in the trace if no message has one."""
     found: list[dict] = []
-    turns = trace.get("messages") if isinstance(trace, dict) else None
+    turns = trace.get("messages", ()) if isinstance(trace, dict) else ()
     said: list[str] = []
     for n, message in enumerate(turns if isinstance(turns, list) else ()):
         if isinstance(message, dict) and message.get("role") in ASSISTANTS:
@@ -231,7 +244,7 @@ def stamp(trace: dict, signal: float) -> None:
 
 
 def trace_id(trace: dict, position: int) -> str:
-    return f"t{position:06d}_{hashlib.sha1(json.dumps(trace, sort_keys=True, ensure_ascii=False).encode()).hexdigest()[:10]}"
+    return f"t{position:06d}_{hashlib.sha1(canonical(trace).encode()).hexdigest()[:10]}"
 
 
 # tables of traces
@@ -290,13 +303,13 @@ def finished(traces: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, canonical, turns = [], [], []
+            texts, ordered, turns = [], [], []
             for raw, signal in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 trace = json.loads(raw)
                 stamp(trace, signal)
                 texts.append(dumps(trace))
-                canonical.append(json.dumps(trace, sort_keys=True, ensure_ascii=False))
+                ordered.append(canonical(trace))
                 turns.append([{"role": None if m.get("role") is None else str(m["role"]), "content": content(m)} for m in messages(trace) if isinstance(m, dict)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(texts, pa.string()), pa.array(canonical, pa.string()), pa.array(turns, entry)], ["trace_idx", "signal", "raw", "canonical", "messages"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(texts, pa.string()), pa.array(ordered, pa.string()), pa.array(turns, entry)], ["trace_idx", "signal", "raw", "canonical", "messages"])
 
     return traces.select("trace_idx", "raw", "signal").mapInArrow(run, f"trace_idx bigint, signal double, raw string, canonical string, messages {MESSAGES}")
