@@ -43,7 +43,13 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "This project is licensed under the MIT License",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+        "Permission is hereby granted, free of charge, "
+        "to any person obtaining a copy of this software "
+        "and associated documentation files (the Software), "
+        "to deal in the Software without restriction, "
+        "including without limitation the rights "
+        "to use, copy, modify, merge, publish, "
+        "distribute, sublicense, and/or sell copies of the Software",
     ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",

@@ -203,7 +203,7 @@ def rules() -> list[Rule]:
         Rule("assign", ASSIGN, True, lambda m: len(m[2]) >= 6),
         Rule("access", r"AKIA[A-Z0-9]+", True, lambda m: m.end() - m.start() >= 20),
         Rule("hex", r"[0-9a-f]{24,}", True),  # the runs of 24 and more among those of [0-9a-f]+
-        Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+        Rule("github", r"gh[oprsu]_[0-9A-Za-z]{36,}"),
         Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
         Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
         Rule("openai", r"\bsk-[A-Za-z0-9_-]{20,}"),
