@@ -136,6 +136,17 @@ def test_near_groups(spark, rows):
     assert got == brute_near(rows)
 
 
+@pytest.mark.parametrize("rows", [CHAIN, SHARED, list(enumerate(near_copies(9, 160)))], ids=["chain", "passage", "copies"])
+def test_near_groups_of_large_neighbourhoods(spark, rows, monkeypatch):
+    """All of them too large for one task, so that rounds of pivots find every link; and lists that are spread over salts."""
+    monkeypatch.setattr(near_dedup, "_PART", 1)
+    monkeypatch.setattr(near_dedup, "_BLOCK", 3)
+    monkeypatch.setattr(near_dedup, "_SALTED", 4)
+    monkeypatch.setattr(near_dedup, "_FEW", 10)
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in near_dedup.groups(frame(spark, rows)).collect())
+    assert got == brute_near(rows)
+
+
 def test_drop_near(spark):
     rows = list(enumerate(near_copies(11, 60))) + [(None, None), (900, ""), (901, ""), (902, "tiny"), (902, "tiny")]
     docs = frame(spark, rows)

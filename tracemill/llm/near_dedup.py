@@ -7,7 +7,9 @@ still. Lists of one are skipped. Of its other lists a class keeps the prefix of
 (rare first): pairs with 20 collisions meet in such a prefix, while lists of passages that many documents share are skipped
 and only probed through the signatures when a pair's collisions are counted.
 
-Candidates of a list are not all paired: in each round every list names pivots, members are tested against them (collisions
+Members that share lists are first brought together in neighbourhoods; one that is small enough for a task (bounded in members
+and shingles) is settled there, the likeliest pairs first and none within a component. Other candidates of a list are not all
+paired: in each round every list names pivots, members are tested against them (collisions
 counted, then the exact sets), links are contracted into components, and lists within one component are done. A pivot leaves
 its lists when all members have met it, and the number of pivots grows from round to round, so in the end each pair of a list
 has met or is known to be connected. No list is cut, capped or collected.
@@ -41,6 +43,8 @@ _random = np.random.default_rng(20)
 _FACTORS = _random.integers(1, 2**63, COORDINATES, dtype=np.uint64) | np.uint64(1)
 #: Members of a block whose sets are moved together.
 _BLOCK = 32
+#: A neighbourhood of at most so many members and shingles (32 MB) is settled in one task.
+_PART, _PART_SHINGLES = 2_000, 4_000_000
 #: Members of a list to one salt.
 _SALTED = 5_000
 #: Up to so many wanted sets, their names (24 bytes each) are broadcast.
@@ -157,13 +161,77 @@ def full_sets(docs: DataFrame, members: DataFrame, text: str, doc_id: str) -> Da
     return joined.groupBy("node").agg(F.first("sig").alias("sig"), F.first("shingles").alias("shingles"))  # repeated rows
 
 
-def blocks(lists: DataFrame) -> DataFrame:
-    """node, block: members that share lists lie together, in blocks of about _BLOCK, so that a set moves once for many pairs."""
-    least = lists.groupBy("key").agg(F.min("node").alias("least"))
-    home = stable(lists.join(least, "key").groupBy("node").agg(F.min("least").alias("home")), "neardup-homes")
-    sizes = home.groupBy("home").agg(F.count(F.lit(1)).alias("n")).withColumn("weight", F.col("n"))
-    parts = salted_left_join(home, sizes, "home", "weight", home.count())
-    return stable(parts.select("node", F.xxhash64("home", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / _BLOCK))).alias("block")), "neardup-blocks")
+def neighbourhoods(lists: DataFrame, steps: int = 3) -> DataFrame:
+    """node, home: members that share lists, directly or over a few others, get one home, the least node seen."""
+    home = lists.select("key", "node", F.col("node").alias("home"))
+    for _ in range(steps):
+        least = home.groupBy("key").agg(F.min("home").alias("least"))
+        seen = home.join(least, "key").groupBy("node").agg(F.min("least").alias("home"))
+        home = stable(lists.select("key", "node").join(seen, "node"), "neardup-homes")
+    return home.groupBy("node").agg(F.min("home").alias("home"))
+
+
+def _local_links(nodes: list[int], signatures: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Links that connect what is connected: the likeliest pairs first, none within a component."""
+    count = len(nodes)
+    sizes = np.array([len(x) for x in sets])
+    left, right, hits = [], [], []
+    for i in range(count - 1):
+        same = (signatures[i + 1 :] == signatures[i]).sum(1)
+        smaller, larger = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
+        found = np.flatnonzero((same >= MATCHES) & (100 * smaller >= SIMILAR * larger))
+        left += [i] * len(found)
+        right += (found + i + 1).tolist()
+        hits += same[found].tolist()
+    parent = list(range(count))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for k in np.argsort(np.array(hits, np.int64), kind="stable")[::-1].tolist():
+        i, j = left[k], right[k]
+        one, other = find(i), find(j)
+        if one != other and similar(sets[i], sets[j]):
+            parent[max(one, other)] = min(one, other)
+            yield nodes[i], nodes[j]
+
+
+def _linked_at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (home, node, sig, shingles) of small neighbourhoods, one after another; links within each."""
+    home, nodes, signatures, sets = None, [], [], []
+
+    def done() -> list[tuple[int, int]]:
+        return list(_local_links(nodes, np.stack(signatures), sets)) if len(nodes) > 1 else []
+
+    for batch in batches:
+        out: list[tuple[int, int]] = []
+        for h, node, sig, shingles in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            if h != home:
+                out += done()
+                home, nodes, signatures, sets = h, [], [], []
+            nodes.append(node)
+            signatures.append(np.frombuffer(sig, np.uint32))
+            sets.append(np.frombuffer(shingles, np.uint64))
+        yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in (0, 1)], ["a", "b"])
+    out = done()
+    yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in (0, 1)], ["a", "b"])
+
+
+def at_home(lists: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(tested: node, part, block; links). Pairs of one part are settled: a part is a neighbourhood small enough for one task
+    (_PART members, _PART_SHINGLES shingles), each member of a larger one is a part by itself and left to the rounds."""
+    homes = stable(neighbourhoods(lists).join(sets.select("node", F.octet_length("shingles").alias("bytes")), "node"), "neardup-neighbourhoods")
+    sizes = homes.groupBy("home").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).withColumn("weight", F.col("n"))
+    sized = salted_left_join(homes.select("node", "home"), sizes, "home", "weight", homes.count())
+    small = (F.col("n") <= _PART) & (F.col("bytes") <= 8 * _PART_SHINGLES)
+    block = F.xxhash64("home", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / _BLOCK)))
+    tested = stable(sized.select("node", "home", F.when(small, F.col("home")).otherwise(F.col("node")).alias("part"), small.alias("small"), "n", block.alias("block")), "neardup-parts")
+    rows = tested.where("small and n > 1").select("node", "home").join(sets, "node").select("home", "node", "sig", "shingles")
+    rows = rows.repartition(parallelism(lists.sparkSession), "home").sortWithinPartitions("home")
+    return tested.select("node", "part", "block"), stable(rows.mapInArrow(_linked_at_home, "a bigint, b bigint"), "neardup-links")
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,11 +254,11 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links(lists: DataFrame, pivots: DataFrame, block_of: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) between members (key, node, n, label, size) and pivots (key, pivot, pivot_n, pivot_label, size) of one list."""
+    """Links (a, b) between members (key, node, n, part, label, size) and pivots (key, pivot, pivot_n, pivot_part, pivot_label, size) of one list."""
     split = (F.col("size") / _SALTED).cast("int")  # a long list's members are spread, its pivots repeated
     spread = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), split)))
     members = lists.withColumn("salt", F.pmod(F.xxhash64("node"), split + 1).cast("int"))
-    near = (100 * F.least("n", "pivot_n") >= SIMILAR * F.greatest("n", "pivot_n")) & (F.col("label") != F.col("pivot_label"))
+    near = (100 * F.least("n", "pivot_n") >= SIMILAR * F.greatest("n", "pivot_n")) & (F.col("label") != F.col("pivot_label")) & (F.col("part") != F.col("pivot_part"))
     pairs = members.drop("size").join(spread.drop("size"), ["key", "salt"]).where(near)
     pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     where = lambda who: block_of.select(F.col("node").alias(who), F.col("block").alias(f"block_{who}"))
@@ -222,19 +290,21 @@ def components(edges: DataFrame) -> DataFrame:
 
 def link(classes: DataFrame, lists: DataFrame, sets: DataFrame) -> DataFrame | None:
     """node, label of all classes that are linked with another; None if none are."""
-    labels: DataFrame | None = None
-    block_of = blocks(lists)
-    rest = lists.join(classes.select("node", F.col("n_shingles").alias("n")), "node").select("key", "node", "n", "size")
+    parts, found = at_home(lists, sets)
+    labels = None if found.isEmpty() else components(found)
+    block_of = parts.select("node", "block")
+    names = ["key", "node", "n", "part", "size"]
+    rest = lists.join(classes.select("node", F.col("n_shingles").alias("n")), "node").join(parts.select("node", "part"), "node").select(names)
     most = 1
     while True:
-        rest = rest.select("key", "node", "n", "size")
+        rest = rest.select(names)
         rest = rest.withColumn("label", F.col("node")) if labels is None else rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        open_ = rest.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count(F.lit(1)).alias("now")).where("l < h").select("key", "now")
-        rest = stable(rest.join(open_, "key").select("key", "node", "n", "label", F.col("now").alias("size")), "neardup-lists")
+        open_ = rest.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.min("part").alias("p"), F.max("part").alias("q"), F.count(F.lit(1)).alias("now")).where("l < h and p < q").select("key", "now")
+        rest = stable(rest.join(open_, "key").select("key", "node", "n", "part", "label", F.col("now").alias("size")), "neardup-lists")
         if rest.isEmpty():
             return labels
         nth = F.row_number().over(Window.partitionBy("key").orderBy("node"))  # only the first few: grouped limits are taken before the shuffle
-        pivots = rest.withColumn("nth", nth).where(F.col("nth") <= most).select("key", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("label").alias("pivot_label"), "size")
+        pivots = rest.withColumn("nth", nth).where(F.col("nth") <= most).select("key", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("part").alias("pivot_part"), F.col("label").alias("pivot_label"), "size")
         pivots = stable(pivots, "neardup-pivots")
         found = stable(_links(rest, pivots, block_of, sets), "neardup-links")
         rest = rest.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
