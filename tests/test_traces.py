@@ -132,6 +132,15 @@ def test_process_modes(spark):
         process.process(frame, "invert")
 
 
+def test_older_interface(spark):
+    texts = spark.createDataFrame([("It is really fine",)], "text string")
+    assert process.get_compressor("rules")(texts).first().processed == "It is fine"
+    out = process.get_compressor("llm", make=lambda: Stub("short"))(texts)
+    assert out.first().processed == "short" and "problem" not in out.columns
+    with pytest.raises(ValueError):
+        process.get_compressor("odd")
+
+
 GRADES = [
     (json.dumps({"safety": 0.7, "content_fidelity": -0.2, "logical_fidelity": 1.4, "signal": 2.0}), (1.0, 1.0, 0.0, 0.7), ""),
     (f"x {json.dumps({'safety': 0.4, 'content_fidelity': 0.8, 'logical_fidelity': 0.9})} y", (0.4, 0.9, 0.8, 0.4), ""),

@@ -62,3 +62,16 @@ def process(spans: DataFrame, mode: str = "rules", level: str = "lite", make: Ca
     if mode in ("rules", "noop"):
         after = F.when(blank, F.lit(0).cast("bigint")).otherwise(after)
     return out.withColumns({"original_tokens": estimate_tokens(F.col("text")), "processed_tokens": after})
+
+
+def get_compressor(mode: str, level: str = "lite", make: Callable[[], ChatBackend] | None = None, seqs: int = 1) -> Callable[[DataFrame], DataFrame]:
+    """The older interface: a function from a table with text to that table with processed and token counts, without rails."""
+    if mode not in ("rules", "llm", "noop"):
+        raise ValueError(f"unknown compressor: {mode!r}")
+
+    def run(texts: DataFrame) -> DataFrame:
+        bare = texts.withColumns({c: F.lit("") for c in ("problem", "answer") if c not in texts.columns})
+        out = process(bare, mode, level, make, seqs)
+        return out.drop(*[c for c in ("problem", "answer") if c not in texts.columns])
+
+    return run
