@@ -44,7 +44,7 @@ _FACTORS = _random.integers(1, 2**63, COORDINATES, dtype=np.uint64) | np.uint64(
 #: Members of a block whose sets are moved together.
 _BLOCK = 32
 #: A neighbourhood of at most so many members and shingles (32 MB) is settled in one task.
-_PART, _PART_SHINGLES = 2_000, 4_000_000
+_PART, _PART_SHINGLES = 8_000, 4_000_000
 #: Members of a list to one salt.
 _SALTED = 5_000
 #: Up to so many wanted sets, their names (24 bytes each) are broadcast.
@@ -161,7 +161,7 @@ def full_sets(docs: DataFrame, members: DataFrame, text: str, doc_id: str) -> Da
     return joined.groupBy("node").agg(F.first("sig").alias("sig"), F.first("shingles").alias("shingles"))  # repeated rows
 
 
-def neighbourhoods(lists: DataFrame, steps: int = 3) -> DataFrame:
+def neighbourhoods(lists: DataFrame, steps: int = 6) -> DataFrame:
     """node, home: members that share lists, directly or over a few others, get one home, the least node seen."""
     home = lists.select("key", "node", F.col("node").alias("home"))
     for _ in range(steps):
@@ -172,31 +172,17 @@ def neighbourhoods(lists: DataFrame, steps: int = 3) -> DataFrame:
 
 
 def _local_links(nodes: list[int], signatures: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-    """Links that connect what is connected: the likeliest pairs first, none within a component."""
-    count = len(nodes)
-    sizes = np.array([len(x) for x in sets])
-    left, right, hits = [], [], []
-    for i in range(count - 1):
-        same = (signatures[i + 1 :] == signatures[i]).sum(1)
-        smaller, larger = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
-        found = np.flatnonzero((same >= MATCHES) & (100 * smaller >= SIMILAR * larger))
-        left += [i] * len(found)
-        right += (found + i + 1).tolist()
-        hits += same[found].tolist()
-    parent = list(range(count))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for k in np.argsort(np.array(hits, np.int64), kind="stable")[::-1].tolist():
-        i, j = left[k], right[k]
-        one, other = find(i), find(j)
-        if one != other and similar(sets[i], sets[j]):
-            parent[max(one, other)] = min(one, other)
-            yield nodes[i], nodes[j]
+    """Links that connect what is connected: each member's likeliest partners first, none within a component."""
+    sizes, label = np.array([len(x) for x in sets]), np.arange(len(nodes))
+    for i in range(len(nodes) - 1):
+        rest = slice(i + 1, None)
+        other = np.flatnonzero((label[rest] != label[i]) & (100 * np.minimum(sizes[rest], sizes[i]) >= SIMILAR * np.maximum(sizes[rest], sizes[i]))) + i + 1
+        same = (signatures[other] == signatures[i]).sum(1)
+        order = np.argsort(-same, kind="stable")
+        for j in other[order[: int((same >= MATCHES).sum())]].tolist():
+            if label[j] != label[i] and similar(sets[i], sets[j]):
+                label[label == label[j]] = label[i]
+                yield nodes[i], nodes[j]
 
 
 def _linked_at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
