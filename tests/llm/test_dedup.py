@@ -147,6 +147,22 @@ def test_near_groups_of_large_neighbourhoods(spark, rows, monkeypatch):
     assert got == brute_near(rows)
 
 
+def tail(seed, n, step=9, size=60):
+    """A chain in which a text is similar to its next only, and whose classes' ids are in no order."""
+    r = random.Random(seed)
+    words = [f"t{r.randrange(10**9)}" for _ in range(step * n + size)]
+    return [(i, " ".join(words[i * step : i * step + size])) for i in range(n)]
+
+
+@pytest.mark.parametrize("rows", [tail(34, 40), tail(13, 60)], ids=["40", "60"])
+def test_near_groups_of_a_tail_beyond_the_steps(spark, rows, monkeypatch):
+    """The node that names the small neighbourhood at the end of the tail is itself a member of the large one before it."""
+    monkeypatch.setattr(near_dedup, "_PART", 6)
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in near_dedup.groups(frame(spark, rows)).collect())
+    assert got == brute_near(rows)
+    assert {r[2] for r in got} == {"0"}
+
+
 def test_drop_near(spark):
     rows = list(enumerate(near_copies(11, 60))) + [(None, None), (900, ""), (901, ""), (902, "tiny"), (902, "tiny")]
     docs = frame(spark, rows)

@@ -208,13 +208,16 @@ def _linked_at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def at_home(lists: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(tested: node, part, block; links). Pairs of one part are settled: a part is a neighbourhood small enough for one task
-    (_PART members, _PART_SHINGLES shingles), each member of a larger one is a part by itself and left to the rounds."""
+    (_PART members, _PART_SHINGLES shingles), each member of a larger one is a part by itself and left to the rounds.
+
+    A home is some node's id, and that node may itself live in a larger neighbourhood: a small one's part is a hash of its home,
+    which no node's id equals but by accident (5e-20 a pair)."""
     homes = stable(neighbourhoods(lists).join(sets.select("node", F.octet_length("shingles").alias("bytes")), "node"), "neardup-neighbourhoods")
     sizes = homes.groupBy("home").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).withColumn("weight", F.col("n"))
     sized = salted_left_join(homes.select("node", "home"), sizes, "home", "weight", homes.count())
     small = (F.col("n") <= _PART) & (F.col("bytes") <= 8 * _PART_SHINGLES)
     block = F.xxhash64("home", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / _BLOCK)))
-    tested = stable(sized.select("node", "home", F.when(small, F.col("home")).otherwise(F.col("node")).alias("part"), small.alias("small"), "n", block.alias("block")), "neardup-parts")
+    tested = stable(sized.select("node", "home", F.when(small, F.xxhash64(F.lit("home"), "home")).otherwise(F.col("node")).alias("part"), small.alias("small"), "n", block.alias("block")), "neardup-parts")
     rows = tested.where("small and n > 1").select("node", "home").join(sets, "node").select("home", "node", "sig", "shingles")
     rows = rows.repartition(parallelism(lists.sparkSession), "home").sortWithinPartitions("home")
     return tested.select("node", "part", "block"), stable(rows.mapInArrow(_linked_at_home, "a bigint, b bigint"), "neardup-links")
