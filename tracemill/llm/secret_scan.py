@@ -6,7 +6,7 @@ made for the trigrams that queries name, when they are first needed; a query int
 remain are verified by the regex itself over the whole text. A rule without mandatory trigrams scans every document.
 
 Defined results: null text is empty and has no secret; positions are code points, the end exclusive; every whole text is
-scanned; other columns pass through `redact` untouched; an empty table gives an empty result.
+scanned; a private key is the stretch from its BEGIN to its END line; other columns pass through `redact` untouched; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -185,17 +185,34 @@ class Segment:
 
 
 class Rule:
-    def __init__(self, kind: str, pattern: str, base: bool = False, keep: Callable[[re.Match], bool] | None = None):
-        self.kind, self.base, self.keep = kind, base, keep
+    def __init__(self, kind: str, pattern: str, base: bool = False, keep: Callable[[re.Match], bool] | None = None, end: Callable[[re.Match], int] = re.Match.end):
+        self.kind, self.base, self.keep, self.end = kind, base, keep, end
         self.regex = re.compile(pattern, re.ASCII)
         self.query = trigram_query(pattern)
         self.bytes_regex = re.compile(pattern.encode(), re.ASCII)
 
     def spans(self, text: str) -> list[tuple[int, int]]:
-        return [m.span() for m in self.regex.finditer(text) if self.keep is None or self.keep(m)]
+        return [(m.start(), self.end(m)) for m in self.regex.finditer(text) if self.keep is None or self.keep(m)]
 
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_LABEL = r"(?:[A-Z0-9]+ ){0,3}PRIVATE KEY(?: BLOCK)?-----"
+_MARK = re.compile(rf"-----(?:BEGIN [A-Z0-9 ]+-----|(END) {_LABEL})", re.ASCII)
+#: The end of a line, also as strings in source code write it.
+_EOL = r"""(?:[ \t"',;+]*(?:\r\n?|\n|\\r|\\n))"""
+#: Long words in the header's own line; then fields such as Proc-Type, and lines of base64 only.
+_BODY = re.compile(
+    rf"""(?:[ \t]*[A-Za-z0-9+/]{{20,}}={{0,2}}(?:[ \t]+(?=[A-Za-z]*[0-9+/=])[A-Za-z0-9+/=]+)*)?"""
+    rf"""(?:{_EOL}+[ \t>"'#*]*[A-Z][A-Za-z-]+:[ \t][^\r\n\\]*)*"""
+    rf"""(?:{_EOL}+[ \t>"'#*]*[A-Za-z0-9+/=]+(?={_EOL}|[ \t"',;]*\Z))*""",
+    re.ASCII,
+)
+
+
+def key_end(header: re.Match) -> int:
+    """Where a private key ends: with its END line, or with the lines of base64 if there is none before the next BEGIN."""
+    mark = _MARK.search(header.string, header.end())
+    return mark.end() if mark and mark[1] else _BODY.match(header.string, header.end()).end()
 
 
 def rules() -> list[Rule]:
@@ -208,7 +225,7 @@ def rules() -> list[Rule]:
         Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
         Rule("openai", r"\bsk-[A-Za-z0-9_-]{20,}"),
         Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-        Rule("private_key", r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----"),
+        Rule("private_key", f"-----BEGIN {_LABEL}", end=key_end),
     ]
 
 
