@@ -1,9 +1,12 @@
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tracemill.functions.text import entropy, estimate_tokens
+from tracemill import queries
 from tracemill.operators import rules
 
 
@@ -61,3 +64,50 @@ def test_entropy(spark, text, bits):
 def test_restore_undoes_protect(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("p", rules.protect(F.col("t")))
     assert df.where(rules.restore(F.col("p.txt"), F.col("p.originals")) != F.col("t")).count() == 0
+
+
+def plain(text, level):
+    """compress in plain Python."""
+    if text is None or not text.strip() or "\0" in text:
+        return text
+    flags = lambda p: (p[4:], re.NOFLAG) if p.startswith("(?U)") else (p, re.ASCII)
+    sub = lambda p, new, t: re.sub(flags(p)[0], new, t, flags=flags(p)[1])
+    kept = []
+
+    def put(m):
+        kept.append(m[0])
+        return f"\0P{len(kept) - 1}\0"
+
+    for pattern in rules.PROTECTED:
+        text = sub(pattern, put, text)
+    text = sub(rf"(?im)(?:^|(?<=[!.?]\s))(?:{'|'.join(rules.OPENERS)})[-\s,!.:]+", "", text)
+    for words in (rules.PLEASANTRIES, rules.HEDGES, rules.FILLER):
+        text = sub(rules.phrases(words), "", text)
+    for phrase, short in rules.REPLACEMENTS:
+        text = sub(rf"(?i)\b{phrase}\b", short, text)
+    if level == "full":
+        text = sub(r"(?i)(?<=\S )(?:the|an?)\b\s+", "", text)
+        text = sub(r"(?i)\bso(?: that)?\b\s+", "-> ", text)
+    for pattern, new in [(r"[\t ]+", " "), (r"[\t ]*(\n)[\t ]*", r"\1"), (r"(\n\n)\n+", r"\1"), (r"(?U)\s+([!,.:;?])", r"\1"), (r"(?U)\s{2,}", " ")]:
+        text = sub(pattern, new, text)
+    text = text.strip()
+    for i in reversed(range(len(kept))):
+        text = text.replace(f"\0P{i}\0", kept[i])
+    return text
+
+
+FAR = "The value of a word is in the list. " * 12
+TURNS = [
+    "Okay, so basically I think the cache is just stale, in order to run. Well, it is so that `just so` stays.", FAR + "Perhaps it is really just the case that 'just this' in /usr/just/x is kept.", "a\n\n\n\nb  ,\tc",
+    FAR + "\nYeah, see https://x.y/just?q=very and ```so = just 1``` so it is very fast", "", "  ", None, FAR + "<output>just\nso</output> due to the fact that 1.2.3 is \"really\" 日本語 é",
+]
+
+
+@pytest.mark.parametrize("level", rules.LEVELS)
+def test_queries_compress_whole_texts(spark, data, tmp_path, level):
+    run = queries.QUERIES[f"rules_{level}_text"]
+    spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(TURNS)], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    assert {r.turn: r.compressed for r in run(spark, str(tmp_path)).collect()} == {i: plain(t, level) for i, t in enumerate(TURNS)}
+    rows = {(r.conv_id, r.turn): r.text for r in spark.read.parquet(f"{data}/conversations.parquet").collect()}
+    assert any(len(t or "") > 200 for t in rows.values())
+    assert {(r.conv_id, r.turn): r.compressed for r in run(spark, data).collect()} == {k: plain(t, level) for k, t in rows.items()}

@@ -149,6 +149,19 @@ def rules_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _compressed(spark, sf_dir, _TERSE, "full")
 
 
+# no SQL for whole texts: DuckDB has no way to set protected stretches aside, and no look-behind
+
+
+@_query()
+def rules_lite_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compressed(spark, sf_dir, "text", "lite")
+
+
+@_query()
+def rules_full_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compressed(spark, sf_dir, "text", "full")
+
+
 @_query("SELECT doc_id, true AS same FROM documents")
 def protect_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = _documents(spark, sf_dir).withColumn("p", rules.protect(F.col("text")))
