@@ -6,7 +6,8 @@ node of the bytes since) accepts exactly the right tokenizations. It is determin
 pairs with the tokens that each still owes, what all of them owe is emitted at once, and a transition is built when first taken.
 A pair dies within one token's length, which bounds the lookahead. Text is cut before each space that precedes a non-space (a
 boundary of the pattern in any context), and what such a chunk encodes to is remembered; both memories are bounded and start
-anew when full, which changes no result.
+anew when full, which changes no result. Texts are taken about SLICE bytes at a time: their chunks are told apart first, each
+different one is looked up or run through the transducer once, and the ids of the texts are gathered from these.
 
 Decoding. Ids become bytes by table and pass an incremental UTF-8 machine that holds back an unfinished character.
 
@@ -25,6 +26,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,11 +36,16 @@ from tracemill.session import ship
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: White space as the pattern has it.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_CUT = re.compile(f" (?=[^{_SPACE}])")
-_DOUBLED = re.compile(f" (?:[{_SPACE}]|\\Z)").search
+_DOUBLED_RE2 = f" (?:[{_SPACE}]|\\z)"
 _PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
-CHUNKS = 150_000
-TRANSITIONS = 250_000
+#: The same where a text is ASCII.
+_ASCII_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"""
+#: What one process remembers in a generation: pieces (about 200 bytes each; two generations are held) and
+#: transitions (about 500 bytes each, with their states).
+PIECES = 400_000
+TRANSITIONS = 600_000
+#: Bytes of text that are encoded together.
+SLICE = 8 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -121,7 +128,8 @@ class Transducer:
         self.entries, self.final = [start], [()]
         self.hops: dict[int, tuple[int, tuple[int, ...]]] = {}
         self._number = {start: 0}
-        self._pairs.clear()
+        if len(self._pairs) > self.limit:
+            self._pairs.clear()
 
     def _build(self, at: int) -> tuple[int, tuple[int, ...]]:
         v = self.vocabulary
@@ -182,44 +190,85 @@ class Transducer:
         return out
 
 
+def _joined(column: pa.Array) -> str:
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column), " ")[0].as_py()
+
+
 class Encoder(dict):
     """Whole texts to packed little-endian unsigned 32-bit ids.
 
-    The dict remembers what a chunk gives after its space, in two generations: what the old one has and is asked for again
-    moves to the new one.
+    The dict remembers what a piece gives, in two generations: what the old one has and is asked for again moves to the new one.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
         super().__init__()
         self.transducer = Transducer(Vocabulary(ranks))
         self.pieces = regex.compile(pattern).findall
+        self.ascii_pieces = re.compile(_ASCII_PATTERN).findall if pattern == PATTERN else self.pieces
         self.old: dict[str, bytes] = {}
 
-    def __missing__(self, chunk: str) -> bytes:
-        packed = self.old.get(chunk)
+    def __missing__(self, piece: str) -> bytes:
+        packed = self.old.get(piece)
         if packed is None:
-            packed = self.chunk(" " + chunk, _PLAIN(chunk) is not None)
-            if len(chunk) > 64:
+            packed = array("I", self.transducer.encode(piece.encode())).tobytes()
+            if len(piece) > 64:
                 return packed
-        self[chunk] = packed
+        self[piece] = packed
         return packed
 
-    def chunk(self, text: str, one_piece: bool = False) -> bytes:
-        encode = self.transducer.encode
-        if one_piece:
-            return array("I", encode(text.encode())).tobytes()
-        return array("I", [i for piece in self.pieces(text) for i in encode(piece.encode())]).tobytes()
+    def chunk(self, text: str) -> bytes:
+        """The ids of a stretch of text that begins and ends at borders of pieces."""
+        return b"".join(map(self.__getitem__, self.ascii_pieces(text) if text.isascii() else self.pieces(text)))
 
     def packed(self, text: str) -> bytes:
-        if len(self) > CHUNKS:
-            self.old = dict(self)
-            self.clear()
-        first, *rest = _CUT.split(text) if _DOUBLED(text) else text.split(" ")
-        return b"".join([self.chunk(first), *map(self.__getitem__, rest)])
+        self.turn()
+        return self.chunk(text)
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.packed(text), "<u4")
 
+    def turn(self) -> None:
+        if len(self) > PIECES:
+            self.old = dict(self)
+            self.clear()
+
+    def table(self, chunks: pa.Array) -> tuple[bytes, list[int]]:
+        """The packed ids of different chunks, each after its space, one after another, and how many bytes each has."""
+        self.turn()
+        chunk = self.chunk
+        found = [self[" " + c] if c.isalpha() and (c.isascii() or _PLAIN(c)) else chunk(" " + c) for c in _joined(chunks).split(" ")] if len(chunks) else []
+        return b"".join(found), list(map(len, found))
+
+    def odd(self, column: pa.Array) -> np.ndarray:
+        """Places of the texts that aren't to be cut at every space."""
+        return np.flatnonzero(pc.match_substring_regex(column, _DOUBLED_RE2).to_numpy(zero_copy_only=False))
+
+    def many(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after another, and where each begins; one more place, the end, follows."""
+        column = pc.fill_null(column, "")
+        whole = {}
+        if len(odd := self.odd(column)):
+            whole = {i: self.packed(column[i].as_py()) for i in odd.tolist()}
+            mask = np.zeros(len(column), bool)
+            mask[odd] = True
+            column = pc.if_else(pa.array(mask), "", column)
+        cut = pc.split_pattern(column, " ")
+        starts = cut.offsets.to_numpy().astype(np.int64)
+        chunks = cut.values.slice(int(starts[0]), int(starts[-1] - starts[0]))
+        starts -= starts[0]
+        coded = chunks.dictionary_encode()
+        # the first chunk of a text has no space before it, so each gets an entry of its own
+        firsts = chunks.take(pa.array(starts[:-1])).to_pylist()
+        entries, sizes = self.table(coded.dictionary)
+        others = [whole[i] if i in whole else self.chunk(first) for i, first in enumerate(firsts)]
+        entries = b"".join([entries, *others])
+        ends = np.cumsum(np.array([0, *sizes, *map(len, others)], np.int64)) // 4
+        which = coded.indices.to_numpy().astype(np.int64)
+        which[starts[:-1]] = len(coded.dictionary) + np.arange(len(firsts))
+        lengths = np.diff(ends)[which]
+        lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.frombuffer(entries, "<u4")))
+        return lists.take(pa.array(which)).values.to_numpy(), np.append(0, np.cumsum(lengths))[starts]
+
 
 class Utf8Machine:
     """Incremental UTF-8: bytes in, whole characters out; the state is the unfinished character at the end."""
@@ -249,13 +298,14 @@ class Utf8Machine:
 
 class StreamingDecoder:
     def __init__(self, bytes_of: list[bytes], block: int = 65_536):
-        self.bytes_of, self.block = bytes_of, block
+        self.table, self.block = pa.array(bytes_of, pa.binary()), block
 
     def stream(self, ids: np.ndarray) -> Iterator[tuple[bytes, str]]:
         """Blocks of the decoded bytes, with the text that is certain by then."""
-        machine, table = Utf8Machine(), self.bytes_of.__getitem__
+        machine = Utf8Machine()
         for at in range(0, len(ids), self.block):
-            data = b"".join(map(table, ids[at : at + self.block].tolist()))
+            _, ends, data = self.table.take(pa.array(ids[at : at + self.block])).buffers()
+            data = data.to_pybytes()[: np.frombuffer(ends, np.int32)[min(self.block, len(ids) - at)]] if data else b""
             yield data, machine.feed(data)
         if machine.pending:
             yield b"", machine.close()
@@ -274,9 +324,17 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def texts(column: pa.Array) -> Iterator[str]:
-    for value in column:
-        yield value.as_py() or ""
+def slices(batch: pa.RecordBatch, text: int, most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose texts (column number text) have about so many bytes; a longer text is a part by itself."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    begin, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > most:
+            yield batch.slice(begin, i - begin)
+            begin, held = i, 0
+        held += size
+    if begin < batch.num_rows:
+        yield batch.slice(begin)
 
 
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
@@ -289,10 +347,9 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for batch in batches:
-            for part in _slices(batch):
-                values = [coder.ids(t).astype(np.int32) for t in texts(part.column(part.num_columns - 1))]
-                ends = np.cumsum([0, *map(len, values)], dtype=np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *values])))
+            for part in slices(batch, batch.num_columns - 1):
+                flat, starts = coder.many(part.column(part.num_columns - 1))
+                ids = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", `{out}` array<int>"
@@ -309,7 +366,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "text") -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = StreamingDecoder(encoder(path).transducer.vocabulary.bytes_of)
         for batch in batches:
-            for part in _slices(batch):
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 done = [None if v.as_py() is None else decoder.text(v.values.to_numpy(zero_copy_only=False)) for v in part.column(part.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(done, pa.string())], names)
 
@@ -317,11 +375,6 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "text") -> Dat
     return df.select("*", F.col(f"`{ids}`").alias("__tm_ids")).mapInArrow(run, schema)
 
 
-def _slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
-
-
 def round_trip(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256, and whether the decoded text is the text."""
     ship(docs.sparkSession)
@@ -329,13 +382,12 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", doc_id: str = "do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         decoder = StreamingDecoder(coder.transducer.vocabulary.bytes_of)
-        for batch in batches:
-            counts, encoded, decoded, same = [], [], [], []
-            for value in texts(batch.column(1)):
-                packed = coder.packed(value)
-                ids = np.frombuffer(packed, "<u4")
-                counts.append(len(ids))
-                encoded.append(hashlib.sha256(packed).hexdigest())
+        for batch in (part for whole in batches for part in slices(whole, 1)):
+            encoded, decoded, same = [], [], []
+            flat, starts = coder.many(batch.column(1))
+            for i, value in enumerate(batch.column(1)):
+                value, ids = value.as_py() or "", flat[starts[i] : starts[i + 1]]
+                encoded.append(hashlib.sha256(ids).hexdigest())
                 digest, at, equal = hashlib.sha256(), 0, True
                 for data, certain in decoder.stream(ids):
                     digest.update(data)
@@ -344,7 +396,7 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", doc_id: str = "do
                 decoded.append(digest.hexdigest())
                 same.append(equal and at == len(value))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string()), pa.array(same, pa.bool_())],
+                [batch.column(0), pa.array(np.diff(starts), pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string()), pa.array(same, pa.bool_())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "same"],
             )
 
