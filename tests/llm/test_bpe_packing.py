@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -17,7 +18,7 @@ RANKS = bpe.load_ranks(P.path("byte_bpe_50k.tiktoken"))
 CODER = bpe.Encoder(RANKS)
 LIBRARY = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 JSON = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-JSON.encode_special_tokens = True
+MARKS = ["hello <|endoftext|> world", "<|endoftext|>", "end.<|endoftext|>Next\n<|endoftext|><|endoftext|>  two", "<|endoftext", " <|endoftext|>"]
 
 
 def packed(ids):
@@ -29,9 +30,40 @@ def packed(ids):
 def test_ids_are_the_libraries(text):
     ids = CODER.ids(text).tolist()
     assert ids == LIBRARY.encode_ordinary(text) == JSON.encode(text, add_special_tokens=False).ids
+    assert "<|endoftext|>" not in text
     assert bpe.StreamingDecoder(CODER.transducer.vocabulary.bytes_of, block=3).text(ids) == text
 
 
+BATCHES = st.lists(st.text(alphabet=st.one_of(st.sampled_from(list(" \n\t'sltve.,12aethn\x1c\x85\xa0　éſ")), st.characters(exclude_categories=["Cs"])), max_size=40), max_size=12)
+
+
+@settings(max_examples=200, deadline=None)
+@given(BATCHES)
+def test_batches_are_encoded_as_single_texts(texts):
+    texts = [*texts, *texts[:2], *MARKS]
+    column = pa.array([*texts, None])
+    flat, starts = CODER.many(column)
+    assert [flat[a:b].tolist() for a, b in zip(starts[:-1], starts[1:], strict=True)] == [*map(LIBRARY.encode_ordinary, texts), []]
+    flat, starts = packing.coder(P.path("byte_bpe_50k.json"))[0].many(column.slice(1))
+    assert [flat[a:b].tolist() for a, b in zip(starts[:-1], starts[1:], strict=True)] == [e.ids for e in JSON.encode_batch(texts[1:], add_special_tokens=False)] + [[]]
+
+
+def test_memory_of_pieces_turns_over(monkeypatch):
+    monkeypatch.setattr(bpe, "PIECES", 5)
+    small = bpe.Encoder(RANKS)
+    texts = [f"word{i % 7} and other{i} words again and again" for i in range(40)]
+    for i in range(0, 40, 4):
+        flat, starts = small.many(pa.array(texts[i : i + 4]))
+        assert [flat[a:b].tolist() for a, b in zip(starts[:-1], starts[1:], strict=True)] == list(map(LIBRARY.encode_ordinary, texts[i : i + 4]))
+    assert len(small.old) < 60
+
+
+def test_slices_cover_a_batch():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["aaa", None, "b" * 50, "", "cc", "dddddddd"])], ["i", "text"])
+    assert [p.column(0).to_pylist() for p in bpe.slices(batch, 1, 8)] == [[0, 1], [2], [3, 4], [5]]
+    assert list(bpe.slices(batch.slice(0, 0), 1)) == []
+
+
 def test_pieces_without_spaces_and_bounded_memory():
     small = bpe.Encoder(RANKS)
     small.transducer.limit = 50
@@ -101,9 +133,9 @@ def test_cuts_are_the_best_of_all_candidates(seed):
 
 
 def test_pack_covers_every_id_once(spark, data):
-    docs = frame(spark, EDGE).unionByName(spark.read.parquet(f"{data}/documents.parquet"), allowMissingColumns=True)
+    docs = frame(spark, [*EDGE, *enumerate(MARKS, 900_000)]).unionByName(spark.read.parquet(f"{data}/documents.parquet"), allowMissingColumns=True)
     pieces = packing.pack(docs, P.path("byte_bpe_50k.json")).collect()
-    expected = sorted((str(r.doc_id), packed([*LIBRARY.encode_ordinary(r.text or ""), 1])) for r in docs.select("doc_id", "text").collect())
+    expected = sorted((str(r.doc_id), packed([*JSON.encode(r.text or "", add_special_tokens=False).ids, 1])) for r in docs.select("doc_id", "text").collect())
     whole, sequences = {}, {}
     for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
         assert p.ids_crc32 == zlib.crc32(packed(p.ids)) and len(p.ids) == p.length and p.offset == sequences.get(p.sequence_id, 0)
