@@ -8,8 +8,8 @@ still. Lists of one are skipped. Of its other lists a class keeps the prefix of
 and only probed through the signatures when a pair's collisions are counted.
 
 Members that share lists are first brought together in neighbourhoods; one that is small enough for a task (bounded in members
-and shingles) is settled there, the likeliest pairs first and none within a component. Other candidates of a list are not all
-paired: in each round every list names pivots, members are tested against them (collisions
+and shingles) is settled there by the same join on its own lists: members meet in the prefixes, their collisions are counted,
+the likeliest pairs are confirmed first and none within a component. Other candidates of a list are not all paired: in each round every list names pivots, members are tested against them (collisions
 counted, then the exact sets), links are contracted into components, and lists within one component are done. A pivot leaves
 its lists when all members have met it, and the number of pivots grows from round to round, so in the end each pair of a list
 has met or is known to be connected. No list is cut, capped or collected.
@@ -25,11 +25,12 @@ those that agree in id and text; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracemill.operators.joins import salted_left_join, without
@@ -47,6 +48,8 @@ _BLOCK = 32
 _PART, _PART_SHINGLES = 8_000, 4_000_000
 #: Members of a list to one salt.
 _SALTED = 5_000
+#: Bytes of sets that move between the JVM and Python at once.
+_MOVED = 4 << 20
 #: Up to so many wanted sets, their names (24 bytes each) are broadcast.
 _FEW = 50_000
 
@@ -97,14 +100,29 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "n_shingles", "node", "sig"])
 
 
+def _keys(signatures: np.ndarray) -> np.ndarray:
+    """The coordinate-value pairs of each signature, one number each."""
+    keys = (signatures.astype(np.uint64) + (np.arange(COORDINATES, dtype=np.uint64) + np.uint64(1)) * _MIX) * np.uint64(0xD6E8FEB86659FD93)
+    return keys ^ (keys >> np.uint64(32))
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows with sets go to Python a few MB at a time; what is run inside has this setting."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(_MOVED))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    salt = (np.arange(COORDINATES, dtype=np.uint64) + np.uint64(1)) * _MIX
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
             part = batch.slice(at, 1000)
-            values = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(-1, COORDINATES)
-            keys = (values.astype(np.uint64) + salt) * np.uint64(0xD6E8FEB86659FD93)
-            keys ^= keys >> np.uint64(32)
+            keys = _keys(np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(-1, COORDINATES))
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(part.column(0).to_numpy(), COORDINATES))], ["key", "node"])
 
 
@@ -118,12 +136,18 @@ def sketch(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
 def prefix_lists(classes: DataFrame) -> DataFrame:
     """key, node, size: the lists in which pairs with enough collisions meet. size: the members that the list had."""
     postings = classes.select("node", "sig").mapInArrow(_posted, "key bigint, node bigint")
-    shared = postings.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    mine = postings.join(shared, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("size", "key"))).alias("lists"))  # at most COORDINATES
+    shared = stable(postings.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "neardup-shared")
+    sized = salted_left_join(postings, shared.withColumn("weight", F.col("size")), "key", "weight", COORDINATES * classes.count())
+    mine = sized.where("size is not null").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("size", "key"))).alias("lists"))  # at most COORDINATES
     mine = mine.where(F.size("lists") >= MATCHES).select("node", F.explode(F.slice("lists", F.lit(1), F.size("lists") - (MATCHES - 1))).alias("l"))
     return mine.select("l.key", "node", "l.size")
 
 
+def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    kinds = {"shingles": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds.get(n, pa.int64())) for i, n in enumerate(names)], names)
+
+
 def full_sets(docs: DataFrame, members: DataFrame, text: str, doc_id: str) -> DataFrame:
     """node, sig, shingles of the members (doc_id, node, sig): a second pass over the texts, which only works on theirs.
 
@@ -143,15 +167,20 @@ def full_sets(docs: DataFrame, members: DataFrame, text: str, doc_id: str) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(share.value, np.uint8)
+        names = ["doc_id", "node", "shingles"]
         for batch in batches:
             spots = batch.column(2).to_numpy()
-            nodes, sets = [], []
+            rows, held = [], 0
             for i in np.flatnonzero((table[spots >> 3] >> (spots & 7).astype(np.uint8)) & 1).tolist():
                 shingles = shingle_set(batch.column(1)[i].as_py() or "")
-                if len(shingles):
-                    nodes.append((batch.column(0)[i].as_py(), node_of(shingles)))
-                    sets.append(shingles.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in nodes], pa.int64()), pa.array([k for _, k in nodes], pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "node", "shingles"])
+                if not len(shingles):
+                    continue
+                rows.append((batch.column(0)[i].as_py(), node_of(shingles), shingles.tobytes()))
+                held += shingles.nbytes
+                if held > _MOVED:
+                    yield _batch(rows, names)
+                    rows, held = [], 0
+            yield _batch(rows, names)
 
     texts = docs.select(docs[doc_id].cast("bigint").alias("doc_id"), docs[text].alias("text")).withColumn("spot", place(F.col("doc_id")))
     found = texts.mapInArrow(run, "doc_id bigint, node bigint, shingles binary")
@@ -161,28 +190,63 @@ def full_sets(docs: DataFrame, members: DataFrame, text: str, doc_id: str) -> Da
     return joined.groupBy("node").agg(F.first("sig").alias("sig"), F.first("shingles").alias("shingles"))  # repeated rows
 
 
+def _spread(members: DataFrame, per_key: DataFrame) -> DataFrame:
+    """members join per_key on key, where both know the key's size: a long list's members are spread over salts."""
+    split = (F.col("size") / _SALTED).cast("int")
+    spread = per_key.withColumn("salt", F.explode(F.sequence(F.lit(0), split))).drop("size")
+    return members.withColumn("salt", F.pmod(F.xxhash64("node"), split + 1).cast("int")).join(spread, ["key", "salt"]).drop("salt")
+
+
 def neighbourhoods(lists: DataFrame, steps: int = 6) -> DataFrame:
     """node, home: members that share lists, directly or over a few others, get one home, the least node seen."""
-    home = lists.select("key", "node", F.col("node").alias("home"))
+    home = lists.select("key", "node", "size", F.col("node").alias("home"))
     for _ in range(steps):
-        least = home.groupBy("key").agg(F.min("home").alias("least"))
-        seen = home.join(least, "key").groupBy("node").agg(F.min("least").alias("home"))
-        home = stable(lists.select("key", "node").join(seen, "node"), "neardup-homes")
+        least = home.groupBy("key").agg(F.first("size").alias("size"), F.min("home").alias("least"))
+        seen = _spread(home.select("key", "node", "size"), least).groupBy("node").agg(F.min("least").alias("home"))
+        home = stable(lists.select("key", "node", "size").join(seen, "node"), "neardup-homes")
     return home.groupBy("node").agg(F.min("home").alias("home"))
 
 
 def _local_links(nodes: list[int], signatures: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-    """Links that connect what is connected: each member's likeliest partners first, none within a component."""
-    sizes, label = np.array([len(x) for x in sets]), np.arange(len(nodes))
-    for i in range(len(nodes) - 1):
-        rest = slice(i + 1, None)
-        other = np.flatnonzero((label[rest] != label[i]) & (100 * np.minimum(sizes[rest], sizes[i]) >= SIMILAR * np.maximum(sizes[rest], sizes[i]))) + i + 1
+    """Links that connect what is connected, by the inverted join on the members' own lists.
+
+    Each member takes the earlier ones of its prefix lists (all but the MATCHES - 1 longest of the lists it shares, rare first),
+    counts collisions with them, tests the likeliest first and none that is in its component by then.
+    """
+    n, sizes = len(nodes), np.array([len(x) for x in sets])
+    _, of, counts = np.unique(_keys(signatures), return_inverse=True, return_counts=True)
+    of = of.reshape(n, COORDINATES)
+    length = counts[of]
+    order = np.lexsort((of, length), axis=1)
+    of, length = np.take_along_axis(of, order, 1), np.take_along_axis(length, order, 1)
+    place = np.arange(COORDINATES)
+    prefix = (length > 1) & (place < COORDINATES - (MATCHES - 1)) & ((length > 1).sum(1) >= MATCHES)[:, None]
+    member, column = np.nonzero(prefix)
+    keys = of[member, column]
+    posted = member[np.argsort(keys, kind="stable")]  # each list's members, rising
+    begin = np.cumsum(np.append(0, np.bincount(keys, minlength=len(counts))))
+    end = begin[:-1].copy()  # of what a list holds so far
+    label = np.arange(n)
+    for i in range(n):
+        mine = of[i][prefix[i]]
+        met = np.zeros(i, bool)
+        for a, b in zip(begin[mine].tolist(), end[mine].tolist(), strict=True):
+            met[posted[a:b]] = True
+        end[mine] += 1
+        other = np.flatnonzero(met & (100 * np.minimum(sizes[:i], sizes[i]) >= SIMILAR * np.maximum(sizes[:i], sizes[i])))
+        if not len(other):
+            continue
         same = (signatures[other] == signatures[i]).sum(1)
-        order = np.argsort(-same, kind="stable")
-        for j in other[order[: int((same >= MATCHES).sum())]].tolist():
-            if label[j] != label[i] and similar(sets[i], sets[j]):
-                label[label == label[j]] = label[i]
-                yield nodes[i], nodes[j]
+        ranked = np.argsort(-same, kind="stable")[: int((same >= MATCHES).sum())]
+        likely = other[ranked]
+        while len(likely):
+            j = int(likely[0])
+            if similar(sets[i], sets[j]):
+                label[label == label[j]] = i
+                yield nodes[j], nodes[i]
+                likely = likely[label[likely] != i]
+            else:
+                likely = likely[1:]
 
 
 def _linked_at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,16 +258,15 @@ def _linked_at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     for batch in batches:
         out: list[tuple[int, int]] = []
-        for h, node, sig, shingles in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            if h != home:
+        for h, node, sig, shingles in zip(*(batch.column(i) for i in range(4)), strict=True):
+            if (h := h.as_py()) != home:
                 out += done()
                 home, nodes, signatures, sets = h, [], [], []
-            nodes.append(node)
-            signatures.append(np.frombuffer(sig, np.uint32))
-            sets.append(np.frombuffer(shingles, np.uint64))
-        yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in (0, 1)], ["a", "b"])
-    out = done()
-    yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in (0, 1)], ["a", "b"])
+            nodes.append(node.as_py())
+            signatures.append(np.frombuffer(sig.as_py(), np.uint32))
+            sets.append(np.frombuffer(shingles.as_py(), np.uint64))
+        yield _batch(out, ["a", "b"])
+    yield _batch(done(), ["a", "b"])
 
 
 def at_home(lists: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -220,7 +283,9 @@ def at_home(lists: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     tested = stable(sized.select("node", "home", F.when(small, F.xxhash64(F.lit("home"), "home")).otherwise(F.col("node")).alias("part"), small.alias("small"), "n", block.alias("block")), "neardup-parts")
     rows = tested.where("small and n > 1").select("node", "home").join(sets, "node").select("home", "node", "sig", "shingles")
     rows = rows.repartition(parallelism(lists.sparkSession), "home").sortWithinPartitions("home")
-    return tested.select("node", "part", "block"), stable(rows.mapInArrow(_linked_at_home, "a bigint, b bigint"), "neardup-links")
+    with _small_batches(lists.sparkSession):
+        links = stable(rows.mapInArrow(_linked_at_home, "a bigint, b bigint"), "neardup-links")
+    return tested.select("node", "part", "block"), links
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,16 +304,13 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             (sig_a, set_a), (sig_b, set_b) = held[a[i]], held[b[i]]
             if int((sig_a == sig_b).sum()) >= MATCHES and similar(set_a, set_b):
                 out.append((a[i], b[i]))
-        yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in (0, 1)], ["a", "b"])
+        yield _batch(out, ["a", "b"])
 
 
 def _links(lists: DataFrame, pivots: DataFrame, block_of: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between members (key, node, n, part, label, size) and pivots (key, pivot, pivot_n, pivot_part, pivot_label, size) of one list."""
-    split = (F.col("size") / _SALTED).cast("int")  # a long list's members are spread, its pivots repeated
-    spread = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), split)))
-    members = lists.withColumn("salt", F.pmod(F.xxhash64("node"), split + 1).cast("int"))
     near = (100 * F.least("n", "pivot_n") >= SIMILAR * F.greatest("n", "pivot_n")) & (F.col("label") != F.col("pivot_label")) & (F.col("part") != F.col("pivot_part"))
-    pairs = members.drop("size").join(spread.drop("size"), ["key", "salt"]).where(near)
+    pairs = _spread(lists, pivots).where(near)  # a long list's pivots are repeated
     pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     where = lambda who: block_of.select(F.col("node").alias(who), F.col("block").alias(f"block_{who}"))
     pairs = stable(pairs.join(where("a"), "a").join(where("b"), "b"), "neardup-pairs")
@@ -260,21 +322,31 @@ def _links(lists: DataFrame, pivots: DataFrame, block_of: DataFrame, sets: DataF
     moved = sets.join(moved, "node").select("block_a", "block_b", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(None).cast("bigint").alias("b"), "sig", "shingles")
     tested = pairs.select("block_a", "block_b", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("binary").alias("sig"), F.lit(None).cast("binary").alias("shingles"))
     both = moved.union(tested).repartition(parallelism(pairs.sparkSession), "block_a", "block_b").sortWithinPartitions("block_a", "block_b", "kind")
-    return both.mapInArrow(_confirmed, "a bigint, b bigint")
+    with _small_batches(pairs.sparkSession):
+        return stable(both.mapInArrow(_confirmed, "a bigint, b bigint"), "neardup-links")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, label (the least node reachable) of the nodes with an edge (a, b): least neighbours, then pointer jumping."""
+    """node, label (the least node reachable) of the nodes with an edge (a, b): least neighbours, then pointer jumping.
+
+    Nodes of many edges and labels of many nodes are spread over salts.
+    """
     both = stable(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "neardup-edges")
-    labels = stable(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), "neardup-labels")
+    ends = both.count()
+    first = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("degree"))
+    labels = stable(first.select("node", F.least("node", "m").alias("label"), "degree"), "neardup-labels")
+    nodes = labels.count()
     while True:
-        seen = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
-        hooked = labels.join(seen, "node").select("node", F.col("label").alias("was"), F.least("label", "m").alias("label"))
-        jumped = hooked.join(labels.select(F.col("node").alias("label"), F.col("label").alias("next")), "label").select("node", "was", F.least("label", "next").alias("label"))
+        seen = salted_left_join(both, labels.select(F.col("node").alias("b"), "label", "degree"), "b", "degree", ends).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
+        hooked = labels.join(seen, "node").select("node", "degree", F.col("label").alias("was"), F.least("label", "m").alias("label"))
+        hooked = stable(hooked, "neardup-hooked")
+        held = hooked.groupBy("label").agg(F.count(F.lit(1)).alias("weight"))
+        step = held.join(labels.select(F.col("node").alias("label"), F.col("label").alias("next")), "label")
+        jumped = salted_left_join(hooked, step, "label", "weight", nodes).select("node", "degree", "was", F.least("label", "next").alias("label"))
         following = stable(jumped, "neardup-labels")
         if following.where("label <> was").isEmpty():
             return following.select("node", "label")
-        labels = following.select("node", "label")
+        labels = following.select("node", "label", "degree")
 
 
 def link(classes: DataFrame, lists: DataFrame, sets: DataFrame) -> DataFrame | None:
@@ -295,7 +367,7 @@ def link(classes: DataFrame, lists: DataFrame, sets: DataFrame) -> DataFrame | N
         nth = F.row_number().over(Window.partitionBy("key").orderBy("node"))  # only the first few: grouped limits are taken before the shuffle
         pivots = rest.withColumn("nth", nth).where(F.col("nth") <= most).select("key", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("part").alias("pivot_part"), F.col("label").alias("pivot_label"), "size")
         pivots = stable(pivots, "neardup-pivots")
-        found = stable(_links(rest, pivots, block_of, sets), "neardup-links")
+        found = _links(rest, pivots, block_of, sets)
         rest = rest.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
         if not found.isEmpty():
             if labels is None:
