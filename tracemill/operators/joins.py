@@ -8,14 +8,19 @@ from pyspark.sql import functions as F
 from tracemill.session import parallelism, stable
 
 HOT_SHARE = 200
+#: No group of a table of so many rows is too large for a task.
+EVEN = 100_000
 
 
 def salted_left_join(rows: DataFrame, keys: DataFrame, key: str, weight: str, total: int) -> DataFrame:
     """rows left join keys on key, where keys has one row a key and weight says how many rows have it.
 
-    Keys of over 1/HOT_SHARE of all rows (so fewer than HOT_SHARE; these alone are broadcast) are spread over salts.
+    Keys of over 1/HOT_SHARE of all rows (so fewer than HOT_SHARE; these alone are broadcast) are spread over salts. total is
+    the number of rows; of EVEN or fewer none is hot.
     """
-    hot = keys.where(F.col(weight) * HOT_SHARE > max(total, 100_000)).select(F.col(key).alias("__tm_hot"))
+    if total <= EVEN:
+        return rows.join(keys.drop(weight), key, "left")
+    hot = keys.where(F.col(weight) * HOT_SHARE > total).select(F.col(key).alias("__tm_hot"))
     salts = max(2, parallelism(rows.sparkSession) // 2)
     mark = lambda df, salt: df.join(F.broadcast(hot), F.col(key) == F.col("__tm_hot"), "left").withColumn("__tm_salt", salt).drop("__tm_hot")
     is_hot = F.col("__tm_hot").isNotNull()
