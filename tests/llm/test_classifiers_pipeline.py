@@ -1,3 +1,4 @@
+import random
 import re
 import zlib
 
@@ -73,6 +74,49 @@ def test_group_terms_are_swapped():
     assert toxicity.swapped(["nobody"], 0) is None
 
 
+def test_all_pairs_of_both_labels_count():
+    """20,000 rows that name groups, most of them clean: no toxic row loses its counterfactuals."""
+    import pyarrow as pa
+
+    lookup = toxicity._Lookup({f: i for i, f in enumerate(sorted({f for t in ["scum", *toxicity._TERMS] for f in toxicity.features(t)}))})
+    clean = toxicity._pairs(lookup, "A muslim came. One gay man left! Women sang. The deaf boy ran. A sikh sat. Nobody spoke.")
+    toxic = toxicity._pairs(lookup, "You scum of a jewish man. " * 7)
+    assert (len(clean), len(toxic)) == (10, 14)
+    n = [1] * 500 + [0] * 19_500
+    table = pa.table({"toxic": pa.array(n, pa.int32()), "mark": pa.array(range(20_000), pa.int64()), "ids": pa.array([[0] if t else [1] for t in n], pa.list_(pa.int32())), "pairs": pa.array([toxic if t else clean for t in n], pa.list_(pa.list_(pa.int32())))})
+    ids, y, one, other, share = toxicity.gathered(table)
+    assert (ids.n, y.sum(), one.n, other.n) == (20_000, 500, 500 * 7 + 19_500 * 5, one.n) and abs(share.sum() - 20_000) < 1e-6
+    assert abs(share[-500 * 7 :].sum() - 500) < 1e-6 and one.ids[one.starts[-2] :].tolist() == toxic[-2] and other.ids[other.starts[-2] :].tolist() == toxic[-1]
+
+
+def biased_corpus(n=600, seed=5):
+    """Groups named mostly where the text is abusive."""
+    r = random.Random(seed)
+    rows, marks = [], []
+    for i, text in enumerate(prose(seed, n, 30)):
+        bad = i % 3 == 0
+        group = r.choice(["muslim", "gay", "black", "woman"]) if r.random() < (0.8 if bad else 0.1) else ""
+        rows.append((i, f"{text} {'you utter scumbag' if bad and r.random() < 0.7 else 'good day'} {group}."))
+        marks.append((i, 1, int(bad)))
+    return rows, marks
+
+
+def test_neutral_mentions_are_freed_by_the_penalty(spark):
+    rows, marks = biased_corpus()
+    docs, table = frame(spark, rows), labels(spark, marks)
+    neutral = [f"{t} The {g} teacher came" for t in prose(6, 20, 20) for g in ("muslim", "christian", "gay", "straight", "black", "european")]
+
+    def of(penalty):
+        model = toxicity.train(docs, table, penalty=penalty)
+        got = toxicity.scores(frame(spark, list(enumerate(neutral))), model).orderBy("doc_id").toPandas()["__tm_score"].to_numpy().reshape(-1, 6)
+        own = toxicity.scores(docs, model).orderBy("doc_id").toPandas()["__tm_score"].to_numpy()
+        return np.abs(np.diff(got.reshape(-1, 3, 2))).mean(), auc(own, [m[2] for m in marks])
+
+    (plain, _), (fair, held) = of(0.0), of(toxicity.PAIR_PENALTY)
+    print(f"mean change of a neutral sentence's score under a swap: {plain:.3f} without the penalty, {fair:.3f} with it; AUC {held:.3f}")
+    assert fair < 0.5 * plain and held > 0.75
+
+
 def test_quality_on_held_out_labels(spark):
     got = registry.QUERIES["op1_quality_classifier"](spark, BIG).toPandas()
     held = got.merge(spark.read.parquet(f"{BIG}/labels.parquet").toPandas(), on="doc_id")

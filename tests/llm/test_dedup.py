@@ -78,9 +78,10 @@ def test_salted_join_spreads_a_hot_key(spark):
     from tracemill.operators.joins import salted_left_join
 
     rows = spark.range(1000).selectExpr("id", "if(id % 2 = 0, 0, id) AS k")
-    keys = spark.createDataFrame([(0, 100_000, "hot"), (1, 1, "one")], "k long, n long, v string")
-    got = {(r.id): r.v for r in salted_left_join(rows, keys, "k", "n", 200).collect()}
-    assert len(got) == 1000 and all(got[i] == "hot" for i in range(0, 1000, 2)) and got[1] == "one" and got[3] is None
+    keys = spark.createDataFrame([(0, 200_000, "hot"), (1, 1, "one")], "k long, n long, v string")
+    for total in (200, 400_000):  # few rows, which aren't salted, and many
+        got = {(r.id): r.v for r in salted_left_join(rows, keys, "k", "n", total).collect()}
+        assert len(got) == 1000 and all(got[i] == "hot" for i in range(0, 1000, 2)) and got[1] == "one" and got[3] is None
 
 
 @pytest.mark.parametrize("rows", [EDGE, list(enumerate(prose(1, 90) + ["same"] * 40)), [(7, "same")] * 70_000, []], ids=["edge", "prose", "one row", "empty"])

@@ -48,7 +48,7 @@ _BLOCK = 32
 _PART, _PART_SHINGLES = 8_000, 4_000_000
 #: Members of a list to one salt.
 _SALTED = 5_000
-#: Bytes of sets that move between the JVM and Python at once.
+#: Bytes of texts or sets that move between the JVM and Python at once.
 _MOVED = 4 << 20
 #: Up to so many wanted sets, their names (24 bytes each) are broadcast.
 _FEW = 50_000
@@ -108,7 +108,7 @@ def _keys(signatures: np.ndarray) -> np.ndarray:
 
 @contextmanager
 def _small_batches(spark: SparkSession) -> Iterator[None]:
-    """Rows with sets go to Python a few MB at a time; what is run inside has this setting."""
+    """Rows with texts or sets go to Python a few MB at a time; what is run inside has this setting."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(name)
     spark.conf.set(name, str(_MOVED))
@@ -384,14 +384,16 @@ def link(classes: DataFrame, lists: DataFrame, sets: DataFrame) -> DataFrame | N
 
 def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Per document: doc_id, mark, n_shingles, component_id, kept."""
-    rows = stable(sketch(docs, text, doc_id), "neardup-sketch")  # about 220 bytes a document
+    with _small_batches(docs.sparkSession):
+        rows = stable(sketch(docs, text, doc_id), "neardup-sketch")  # about 220 bytes a document
     classes = stable(rows.where("n_shingles > 0").groupBy("node", "n_shingles").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig")), "neardup-classes")
     lists = stable(prefix_lists(classes), "neardup-prefixes")
     alone = lists.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n < 2").select("key")
     lists = lists.join(alone, "key", "left_anti")
     members = lists.select("node").distinct().join(classes, "node").select(F.col("first_id").alias("doc_id"), "node", "sig")
     members = stable(members, "neardup-members")
-    sets = stable(full_sets(docs, members, text, doc_id), "neardup-sets")
+    with _small_batches(docs.sparkSession):
+        sets = stable(full_sets(docs, members, text, doc_id), "neardup-sets")
     labels = link(classes, lists, sets)
     named = classes.select("node", "first_id", "copies")
     named = named.withColumn("label", F.col("node")) if labels is None else named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

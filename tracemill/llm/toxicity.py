@@ -3,8 +3,9 @@
 A document's features are the words in it and their beginnings (of 3 to 6 letters), so that compounds and inflections of
 abusive stems count. Features are screened by association with the label over the training rows; those kept enter a logistic
 model. Beside log loss it pays for every change of score when identity terms are swapped: each labelled sentence that names a
-group is paired with the same sentence naming another group of the kind, and sentences without any are paired with themselves
-with a group mention put in, so a neutral mention of a group moves no score.
+group, of either label, is paired with the same sentence naming another group of the kind; in a document that names none, one
+sentence is paired with itself with a group mention put in. The pairs of a document weigh as much as those of any other, so a
+neutral mention of a group moves no score. All pairs of the fitted rows count.
 
 Training rows: labelled documents whose crc32(doc_id as text) modulo 3 is not 1, at most MAX_TRAINING of them by hash order (the
 documented bound); everything else, the screening included, covers all of these. Every whole document is scored.
@@ -35,7 +36,6 @@ MAX_FEATURES = 20_000
 THRESHOLD = 0.7
 PAIR_PENALTY = 2.0
 RIDGE = 1e-5
-MAX_PAIRS = 20_000
 _WORDS = re.compile(r"[^\W\d_]+").findall
 #: Groups by kind; terms of one kind are swapped for one another.
 IDENTITIES: dict[str, tuple[str, ...]] = {
@@ -128,7 +128,7 @@ def _document(lookup: _Lookup, text: str) -> set[int]:
     return {i for found in map(lookup.__getitem__, set(words(text))) if found for i in found}
 
 
-def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", most: int = MAX_TRAINING) -> Model:
+def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", most: int = MAX_TRAINING, penalty: float = PAIR_PENALTY) -> Model:
     ship(docs.sparkSession)
     known = stable(training_labels(labels, most), "toxicity-labels")  # at most `most` rows of 12 bytes
     rows = docs.select(docs[doc_id].cast("bigint").alias("doc_id"), docs[text].alias("text")).join(F.broadcast(known), "doc_id").select("text", "toxic")
@@ -153,31 +153,37 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
                 body = value.as_py() or ""
                 ids.append(sorted(_document(lookup, body)))
                 pairs.append(_pairs(lookup, body))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(ids, pa.list_(pa.int32())), pa.array(pairs, pa.list_(pa.list_(pa.int32())))], ["toxic", "ids", "pairs"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(ids, pa.list_(pa.int32())), pa.array(pairs, pa.list_(pa.list_(pa.int32())))], ["toxic", "mark", "ids", "pairs"])
 
-    fitted = rows.mapInArrow(found, "toxic int, ids array<int>, pairs array<array<int>>").toArrow()
-    order = sorted(range(fitted.num_rows), key=lambda i: (fitted["toxic"][i].as_py(), fitted["ids"][i].as_py()))  # whatever order tasks ended in
-    ids, toxic = [fitted["ids"][i].as_py() for i in order], np.array([float(fitted["toxic"][i].as_py() > 0) for i in order])
-    flat = [p for i in order for p in fitted["pairs"][i].as_py()]
-    one, other = flat[0::2][:MAX_PAIRS], flat[1::2][:MAX_PAIRS]
+    marked = rows.select("text", "toxic", F.xxhash64("text").alias("mark"))
+    fitted = marked.mapInArrow(found, "toxic int, mark bigint, ids array<int>, pairs array<array<int>>").toArrow()
+    ids, toxic, one, other, share = gathered(fitted)
     balance = np.where(toxic > 0, max(1.0, n0 / n1), 1.0)
-    weights, intercept = fit(Rows(ids), toxic, len(names), balance, ridge=RIDGE, pairs=(Rows(one), Rows(other)), pair_penalty=PAIR_PENALTY)
+    weights, intercept = fit(ids, toxic, len(names), balance, ridge=RIDGE, pairs=(one, other), pair_penalty=penalty, pair_weight=share)
     return Model(names, weights, intercept)
 
 
+def gathered(fitted: pa.Table) -> tuple[Rows, np.ndarray, Rows, Rows, np.ndarray]:
+    """Features and label of each row; both sides of each pair, and its weight: those of a row have one together."""
+    fitted = fitted.take(pa.array(np.lexsort((fitted["mark"].to_numpy(), fitted["toxic"].to_numpy())))).combine_chunks()  # whatever order tasks ended in
+    ids, pairs = (fitted[c].combine_chunks() for c in ("ids", "pairs"))
+    sides = pairs.flatten()
+    places = np.arange(0, len(sides), 2)
+    each = np.diff(pairs.offsets.to_numpy()) // 2
+    share = np.repeat(1 / np.maximum(each, 1), each)
+    return Rows.of(ids), (fitted["toxic"].to_numpy() > 0).astype(float), Rows.of(sides.take(pa.array(places))), Rows.of(sides.take(pa.array(places + 1))), share
+
+
 def _pairs(lookup: _Lookup, text: str) -> list[list[int]]:
-    """Features of a labelled sentence and of its counterfactual, one after the other."""
+    """Features of each labelled sentence that names a group and of its counterfactual, one after the other."""
     out: list[list[int]] = []
-    with_terms = 0
     sentences = [s for s in re.split(r"(?<=[.!?])\s|\n", text) if s.strip()]
     side = lambda ws: sorted({i for w in ws for i in lookup[w]})
     for sentence in sentences:
         own = words(sentence)
-        turn = zlib.crc32(sentence.encode())
-        changed = swapped(own, turn)
-        if changed is not None and with_terms < 4:
+        changed = swapped(own, zlib.crc32(sentence.encode()))
+        if changed is not None:
             out += [side(own), side(changed)]
-            with_terms += 1
     if not out and sentences:  # a mention is put into one sentence, chosen by its text
         own = words(sentences[zlib.crc32(text.encode()) % len(sentences)])
         out += [side(own), side([*own, _TERMS[zlib.crc32(text.encode()) // 7 % len(_TERMS)]])]
