@@ -1,4 +1,6 @@
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,6 +29,27 @@ def test_redact(spark, text, level, expected, n):
     assert (row.redacted, row.n_redactions) == (expected, n)
 
 
+PLAIN_EMAIL = r"[-%+._0-9A-Za-z]+@[-.0-9A-Za-z]+\.[A-Za-z]{2,}"
+
+
+def test_mail_addresses_as_without_guards(spark):
+    r = random.Random(2)
+    texts = ["a@b.com-x@c.org", "a@b@c.de", "@x.yz", "..a@b.c d@e.fg", "x" * 40 + "@a.bc", "é@a.bc", *("".join(r.choice("ab.@- Z9%") for _ in range(40)) for _ in range(400))]
+    rows = redact.redact(spark.createDataFrame([(t,) for t in texts], "text string"), level="standard", counts=True).select("text", "redacted", "n_email").collect()
+    for row in rows:
+        expected, n = re.subn(PLAIN_EMAIL, "<EMAIL>", row.text)
+        assert (row.redacted, row.n_email) == (expected, n)
+
+
+def test_redaction_of_a_long_run_is_linear(spark):
+    texts = [("a1" * 100_000,), ("-" * 200_000,), ("a@" * 100_000,), ("sk-" * 70_000,), ("1 " * 100_000,), ("-----BEGIN A KEY-----" * 9_000,), ("/home/" * 30_000,)]
+    df = spark.createDataFrame(texts, "text string").coalesce(1)
+    redact.redact(df.limit(0)).collect()
+    began = time.time()
+    assert redact.redact(df).count() == len(texts) and redact.redact(df).select("n_redactions").collect()
+    assert time.time() - began < 20
+
+
 def test_redaction_is_idempotent(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").select("text")
     once = redact.redact(docs, level="standard").select(F.col("redacted").alias("text"))
@@ -52,6 +75,19 @@ def brute(texts, t):
 WORDS = [f"w{i}" for i in range(40)]
 
 
+def test_openings_by_endings_in_few_rounds(spark, monkeypatch):
+    """400 rows of which each shares a list with 38 others and none goes; then with one pivot a list at first."""
+    part = lambda kind, i: " ".join(f"{kind}{i}x{j}" for j in range(12))
+    texts = [f"{part('o', i)} {part('e', j)}" for i in range(20) for j in range(20)]
+    rounds = []
+    real = dedup.stable
+    monkeypatch.setattr(dedup, "stable", lambda df, name: rounds.append(name) or real(df, name))
+    assert kept(spark, texts, 0.6) == list(range(400)) and rounds.count("dedup-pivots") == 1
+    rounds.clear()
+    monkeypatch.setattr(dedup, "PIVOTS", 1)
+    assert kept(spark, texts, 0.6) == list(range(400)) and rounds.count("dedup-pivots") <= 4
+
+
 def test_chain_keeps_first_and_last(spark):
     a, b, c = (" ".join(WORDS[i : i + 10]) for i in (0, 2, 4))
     assert brute([a, b, c], 0.5) == [0, 2] == kept(spark, [a, b, c], 0.5)
@@ -66,8 +102,9 @@ def test_threshold_zero_keeps_the_first(spark):
     assert kept(spark, [], 0.5) == []
 
 
-@pytest.mark.parametrize("t", [0.3, 0.6, 0.92])
-def test_random_texts_as_one_after_another(spark, t):
+@pytest.mark.parametrize(("t", "pivots"), [(0.3, 64), (0.6, 1), (0.92, 2)])
+def test_random_texts_as_one_after_another(spark, monkeypatch, t, pivots):
+    monkeypatch.setattr(dedup, "PIVOTS", pivots)
     r = random.Random(int(t * 100))
     texts = []
     for _ in range(150):

@@ -2,9 +2,10 @@
 
 In order, a row goes if it is as similar as max_similarity to any row kept before it. Rows with one shingle set are decided by
 the first of them: its fate is that of all. Of the distinct sets, pairs that can reach the threshold share a shingle in the
-rare-first prefix of both, so rows are listed by prefix shingle. Each round keeps every row that is the first undecided one in
-all of its lists, tests the undecided rows of these lists against it, and drops those that are similar; only kept rows are
-ever compared with others, as in the sequential definition, and no list is paired with itself.
+rare-first prefix of both, so rows are listed by prefix shingle. In a round each list names its first rows as pivots, and all
+its rows are tested against these. A row that is a pivot of all its lists has met every earlier candidate: it stays as soon as
+none of its earlier partners may, and the partners of a row that stays go. Pivots are eight times as many from round to round,
+so the number of rounds is a logarithm of the longest list; rows that went take no further part.
 
 Shingles are compared as 64-bit hashes. Empty sets are similar to nothing. A threshold of 1.0 still drops equal sets; one of 0
 or less leaves the first row alone.
@@ -12,14 +13,16 @@ or less leaves the first row alone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracemill.functions.text import strip
-from tracemill.operators.joins import salted_left_join
+from tracemill.operators.joins import salted_left_join, spread_join
 from tracemill.session import stable
 
 SHINGLE = 5
+#: Pivots of a list in the first round.
+PIVOTS = 64
 TOOL_BLOCK = r"(?is)<(output|tool_result|tool_call|function_calls)>.*?</\1>"
 
 
@@ -49,8 +52,9 @@ def jaccard(a: Column, b: Column) -> Column:
 def prefixes(sets: DataFrame, t: float) -> DataFrame:
     """h, idx: the rare-first prefix of each set (idx, n, s), shingles that no other set has left out."""
     each = sets.select("idx", "n", F.explode("s").alias("h"))
-    shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    mine = each.join(shared, "h").groupBy("idx", "n").agg(F.sort_array(F.collect_list(F.struct("c", "h"))).alias("l"))
+    shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").withColumn("weight", F.col("c"))
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    mine = salted_left_join(each, shared, "h", "weight", total).where("c is not null").groupBy("idx", "n").agg(F.sort_array(F.collect_list(F.struct("c", "h"))).alias("l"))
     room = F.col("n") - F.ceil(F.lit(t) * F.col("n") - 1e-9).cast("int") + 1 - (F.col("n") - F.size("l"))
     return mine.withColumn("room", room).where("room > 0").select("idx", F.explode(F.slice("l", F.lit(1), F.col("room"))).alias("x")).select(F.col("x.h").alias("h"), "idx")
 
@@ -65,11 +69,17 @@ def classes(rows: DataFrame, text: str = "text", idx: str = "doc_id") -> tuple[D
     return membership, firsts.select("idx", "n", "s")
 
 
+def sized(lists: DataFrame, name: str) -> DataFrame:
+    """Lists (h, idx) of two rows or more, with their size."""
+    lists = stable(lists.select("h", "idx"), name)
+    sizes = lists.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumn("weight", F.col("size"))
+    return stable(salted_left_join(lists, sizes, "h", "weight", lists.count()).where("size is not null"), name)
+
+
 def pairs(sets: DataFrame, t: float) -> DataFrame:
     """a, b (a < b), jaccard of all pairs of class representatives (idx, n, s) that reach t."""
-    lists = stable(prefixes(sets, t), "pairs-lists")
-    other = lists.select("h", F.col("idx").alias("b"))
-    found = lists.withColumnRenamed("idx", "a").join(other, "h").where("a < b").select("a", "b").distinct()
+    lists = sized(prefixes(sets, t), "pairs-lists")
+    found = spread_join(lists.withColumnRenamed("idx", "a"), lists.withColumnRenamed("idx", "b"), "h", "a").where("a < b").select("a", "b").distinct()
     side = lambda c: sets.select(F.col("idx").alias(c), F.col("s").alias(f"s_{c}"))
     return found.join(side("a"), "a").join(side("b"), "b").select("a", "b", jaccard(F.col("s_a"), F.col("s_b")).alias("jaccard")).where(F.col("jaccard") >= t)
 
@@ -82,19 +92,32 @@ def keep_first(rows: DataFrame, max_similarity: float = 0.92, text: str = "text"
     empty = made.where("n = 0").select("idx")
     firsts = made.where("n > 0").groupBy("n", F.sort_array("s").alias("s")).agg(F.min("idx").alias("idx"))
     sets = stable(firsts.select("idx", "n", "s"), "dedup-firsts")
-    lists = stable(prefixes(sets, max_similarity), "dedup-lists")
-    dropped: DataFrame | None = None
+    side = lambda c: sets.select(F.col("idx").alias(c), F.col("n").alias(f"n_{c}"), F.col("s").alias(f"s_{c}"))
+    dropped: list[DataFrame] = []
+    lists, most = sized(prefixes(sets, max_similarity), "dedup-lists"), PIVOTS
     while not lists.isEmpty():
-        least = lists.groupBy("h").agg(F.min("idx").alias("least"))
-        ready = lists.join(least, "h").groupBy("idx").agg(F.bool_and(F.col("idx") == F.col("least")).alias("first")).where("first").select(F.col("idx").alias("k"))
-        ready = stable(ready, "dedup-ready")
-        met = lists.join(lists.join(ready, lists["idx"] == ready["k"]).select("h", "k"), "h").where("idx <> k").select("idx", "k").distinct()
-        side = lambda c: sets.select(F.col("idx").alias(c), F.col("n").alias(f"n_{c}"), F.col("s").alias(f"s_{c}"))
-        tested = met.join(side("idx").drop("s_idx"), "idx").join(side("k").drop("s_k"), "k").where(F.least("n_idx", "n_k") >= F.lit(max_similarity) * F.greatest("n_idx", "n_k") - 1e-9)
-        tested = tested.select("idx", "k").join(side("idx"), "idx").join(side("k"), "k")
-        gone = stable(tested.where(jaccard(F.col("s_idx"), F.col("s_k")) >= max_similarity).select("idx").distinct(), "dedup-gone")
-        dropped = gone if dropped is None else dropped.union(gone)
-        decided = gone.union(ready.select(F.col("k").alias("idx")))
-        lists = stable(lists.join(decided, "idx", "left_anti"), "dedup-lists")
-    kept = sets.select("idx") if dropped is None else sets.select("idx").join(dropped, "idx", "left_anti")
+        nth = F.row_number().over(Window.partitionBy("h").orderBy("idx"))  # only the first few: grouped limits are taken before the shuffle
+        pivots = stable(lists.withColumn("nth", nth).where(F.col("nth") <= most).select("h", F.col("idx").alias("k"), "size"), "dedup-pivots")
+        led = pivots.groupBy(F.col("k").alias("idx")).agg(F.count(F.lit(1)).alias("led"))
+        ready = stable(lists.groupBy("idx").agg(F.count(F.lit(1)).alias("all")).join(led, "idx").where("led = all").select("idx"), "dedup-ready")
+        met = spread_join(lists, pivots, "h", "idx").where("k < idx").select("idx", "k").distinct()
+        sizes = met.join(side("idx").drop("s_idx"), "idx").join(side("k").drop("s_k"), "k").where(F.least("n_idx", "n_k") >= F.lit(max_similarity) * F.greatest("n_idx", "n_k") - 1e-9)
+        tested = sizes.select("idx", "k").join(side("idx"), "idx").join(side("k"), "k")
+        partners = stable(tested.where(jaccard(F.col("s_idx"), F.col("s_k")) >= max_similarity).select("idx", "k"), "dedup-partners")
+        decided: DataFrame | None = None
+        while True:
+            stays = stable(ready.join(partners.select("idx").distinct(), "idx", "left_anti"), "dedup-stays")
+            if stays.isEmpty():
+                break
+            gone = stable(partners.join(stays.select(F.col("idx").alias("k")), "k").select("idx").distinct(), "dedup-gone")
+            dropped.append(gone)
+            done = stays.union(gone)
+            decided = done if decided is None else decided.union(done)
+            partners = stable(partners.join(done, "idx", "left_anti").join(done.select(F.col("idx").alias("k")), "k", "left_anti").select("idx", "k"), "dedup-partners")
+            ready = stable(ready.join(done, "idx", "left_anti"), "dedup-ready")
+        lists = sized(lists.join(decided, "idx", "left_anti"), "dedup-lists")
+        most *= 8
+    kept = sets.select("idx")
+    for gone in dropped:
+        kept = kept.join(gone, "idx", "left_anti")
     return kept.union(empty).select(F.col("idx").alias(idx))

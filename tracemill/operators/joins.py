@@ -29,6 +29,17 @@ def salted_left_join(rows: DataFrame, keys: DataFrame, key: str, weight: str, to
     return left.join(right, [key, "__tm_salt"], "left").drop("__tm_salt")
 
 
+def spread_join(rows: DataFrame, others: DataFrame, key: str, by: str, size: str = "size", most: int = 5_000) -> DataFrame:
+    """rows join others on key, where both have the number of rows that the key has: these are spread over salts, most to each.
+
+    by is the column of rows that salts are taken from. size is not in the result.
+    """
+    split = (F.col(size) / most).cast("int")
+    left = rows.withColumn("__tm_salt", F.pmod(F.xxhash64(by), split + 1).cast("int")).drop(size)
+    right = others.withColumn("__tm_salt", F.explode(F.sequence(F.lit(0), split))).drop(size)
+    return left.join(right, [key, "__tm_salt"]).drop("__tm_salt")
+
+
 def without(docs: DataFrame, doc_id: str, mark, verdict: DataFrame) -> DataFrame:
     """docs, all columns, without what verdict (doc_id, mark, kept) refuses; verdict may leave out rows that stay anyway.
 
