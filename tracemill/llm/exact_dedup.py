@@ -31,6 +31,8 @@ SPACES = r"[\x20\x09-\x0D]+"
 SLOTS = 4
 KEYS = "digest binary, keep_id bigint, live bigint, at_keep bigint"
 _FLUSH = 500_000
+#: Keys to an index shard, which is held in memory (about 250 bytes a key).
+_SHARD = 1_000_000
 
 
 def normalised(text: Column) -> Column:
@@ -195,12 +197,12 @@ def _fold_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from index.batches()
 
 
-def index_shards(partial: DataFrame, deleted: DataFrame | None = None) -> DataFrame:
-    """Merge partial keys, then delete; each shard of the digest space is one cuckoo index."""
+def index_shards(partial: DataFrame, deleted: DataFrame | None = None, keys: int = 0) -> DataFrame:
+    """Merge partial keys, then delete; each shard of the digest space is one cuckoo index. keys: how many there may be."""
     rows = partial.select("digest", "keep_id", "live", "at_keep", F.lit(0).alias("kind"))
     if deleted is not None:
         rows = rows.unionByName(deleted.select("digest", "keep_id", "live", "at_keep", F.lit(1).alias("kind")))
-    rows = rows.repartition(parallelism(partial.sparkSession), "digest")
+    rows = rows.repartition(max(parallelism(partial.sparkSession), keys // _SHARD + 1), "digest")
     return (rows.sortWithinPartitions("kind") if deleted is not None else rows).mapInArrow(_fold_keys, KEYS)
 
 
@@ -226,7 +228,7 @@ def delete(index: DataFrame, docs: DataFrame, **names: str) -> DataFrame:
 
 def assign(rows: DataFrame) -> DataFrame:
     """(doc_id, digest) -> doc_id, digest, keep_id, group_size, kept; one row per row. rows must be cheap to read again."""
-    keys = stable(index_shards(partial_keys(rows)), "dedup-keys")
+    keys = stable(index_shards(partial_keys(rows), keys=rows.count()), "dedup-keys")
     total = keys.agg(F.sum("live"), F.max("at_keep")).first()
     n, repeated = total[0] or 0, (total[1] or 0) > 1
     named = keys.select("digest", "keep_id", F.col("live").alias("group_size"), "at_keep", F.col("live").alias("weight"))
