@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -166,3 +167,35 @@ def test_bands_lose_no_contained_template():
         at = r.randrange(len(body))
         found = templates.matches(b" ".join(body[:at] + p.words + body[at:]).decode())
         assert any(m[0] == p.name and m[1] == p.template and m[3] == at and m[4] == at + len(p.words) for m in found) or p.parts > 1
+
+
+def brute_licenses(templates, text):
+    """Templates whose passages some window on the grid holds, without bands."""
+    found, parts = license_scan.shingles(license_scan.fold(text)), {}
+    for p in templates.passages:
+        step = max(1, p.window // 4)
+        length = max(1, p.window + step - license_scan.SHINGLE)
+        shares = [np.isin(p.shingles, found[at : at + length]).mean() for at in range(0, len(found), step)]
+        parts.setdefault((p.template, p.parts), []).append(max(shares, default=0) >= license_scan.CONTAINED)
+    return {template for (template, n), held in parts.items() if 2 * sum(held) > n}
+
+
+def test_licenses_against_windows_without_bands():
+    r = random.Random(12)
+    words = [f"w{i}" for i in range(2000)]
+    long = " ".join(f"clause{i} word{i % 83} of the grant" for i in range(60))
+    templates = license_scan.Templates({**license_scan.TEMPLATES, "Long": (long,)})
+    whole = sorted({p.template for p in templates.passages if len(p.shingles)})
+    bodies = {t: " ".join(w.decode() for p in templates.passages if p.template == t for w in p.words) for t in whole}
+    assert any(p.parts > 2 for p in templates.passages)
+    outcomes = set()
+    for _ in range(250):
+        template = r.choice([*whole, whole[-1]])
+        body = bodies[template].split()
+        damage = r.choice([0.0, 0.0, 0.03, 0.06, 0.1, 0.2])
+        body = [r.choice(words) if r.random() < damage else w for w in body][: max(3, round(len(body) * r.choice([1, 1, 0.85, 0.7, 0.5])))]
+        text = " ".join([*r.choices(words, k=r.randrange(150)), *body, *r.choices(words, k=r.randrange(150))])
+        expected = {t for t in brute_licenses(templates, text) if t in bodies}
+        assert {m[1] for m in templates.matches(text) if m[1] in bodies} == expected
+        outcomes.add((template in expected, len(body) > 64))
+    assert len(outcomes) == 4

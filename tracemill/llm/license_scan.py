@@ -5,9 +5,11 @@ overlapping windows whose lengths are those of the templates (rounded up to powe
 their length. A window's signature is cut into bands; a template and a window that share a band meet. Templates longer than
 SHORT words are cut into passages of at most that many first, so every window has about its passage's length.
 
-With 3-word shingles, a passage of s shingles and the windows' starts at a quarter of their length, the best window holds the
-whole passage, so the similarity is at least s / (2s * 1.25) = 0.4. 40 bands of one row each, then 0.6 ** 40 = 1e-9 is the
-probability of a miss; more rows a band would cost recall that nothing buys back, as templates are few. Whatever the bands
+A window has five quarters of the length that is looked for and one starts every quarter, so one holds the whole passage. A
+passage has over half of that length: with 3-word shingles its similarity to the window is at least 0.4 when it is verbatim
+(5 words: 3 of 7 shingles, 9 words: 7 of 17), and at least 0.31 when 0.8 of its shingles are there. With 40 bands of one row
+each the probability of a miss is then below 0.6 ** 40 = 1e-9 and 0.69 ** 40 = 4e-7; more rows a band would cost recall that
+nothing buys back, as templates are few. Whatever the bands
 retrieve is confirmed by the share of the passage's shingles that the window holds (CONTAINED), and a template counts when its
 passages do. Passages with fewer words than one shingle are found by their words alone.
 
@@ -138,7 +140,8 @@ class Templates:
             return []
         hits: dict[int, list[tuple[int, int, float]]] = defaultdict(list)
         for width, table in self.bands.items():
-            step, length = max(1, width // 4), max(1, 2 * width - SHINGLE + 1)
+            step = max(1, width // 4)
+            length = max(1, width + step - SHINGLE)
             starts = np.unique(np.clip(((where[:, None] // step - np.arange(length // step + 1)) * step), 0, None))
             for start in starts.tolist():
                 window = found[start : start + length]
