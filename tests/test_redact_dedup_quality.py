@@ -88,6 +88,33 @@ def test_openings_by_endings_in_few_rounds(spark, monkeypatch):
     assert kept(spark, texts, 0.6) == list(range(400)) and rounds.count("dedup-pivots") <= 4
 
 
+def test_sets_of_lone_texts_are_not_moved(spark, monkeypatch):
+    """Of 300 texts with a long common end, only the two pairs of near copies go on to the full sets."""
+    end = " ".join(f"e{j}" for j in range(40))
+    texts = [" ".join(f"t{i}x{j}" for j in range(300)) + " " + end for i in range(300)]
+    texts += [texts[7] + " more", texts[150][:-1], texts[9]]
+    held = {}
+    real = dedup.stable
+
+    def stable(df, name):
+        held[name] = real(df, name)
+        return held[name]
+
+    monkeypatch.setattr(dedup, "stable", stable)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.a, r.b) for r in dedup.pairs(rows, 0.92).collect())
+    assert got == [(7, 300), (150, 301)]
+    assert {r.idx for r in held["dedup-sets"].collect()} == {7, 150, 300, 301}
+
+
+def test_white_space_of_shingles_is_that_of_the_regex(spark):
+    """U+001C joins words, U+00A0 and U+3000 part them."""
+    made = lambda text: dedup.shingles(text).tolist()
+    assert made("a\u00a0b\u3000c d e f") == made("a b c d e f") and len(made("a b c d e f")) == 2
+    assert len(made("a\x1cb c d e f")) == 1 and made("a\x1cb c\u2003d e f") == made("a\x1cb c d e f")
+    assert made(None) == made(" \n") == []
+
+
 def test_chain_keeps_first_and_last(spark):
     a, b, c = (" ".join(WORDS[i : i + 10]) for i in (0, 2, 4))
     assert brute([a, b, c], 0.5) == [0, 2] == kept(spark, [a, b, c], 0.5)

@@ -1,28 +1,50 @@
 """Keep-first near-duplicate removal by exact Jaccard similarity of 5-word shingle sets.
 
 In order, a row goes if it is as similar as max_similarity to any row kept before it. Rows with one shingle set are decided by
-the first of them: its fate is that of all. Of the distinct sets, pairs that can reach the threshold share a shingle in the
-rare-first prefix of both, so rows are listed by prefix shingle. In a round each list names its first rows as pivots, and all
-its rows are tested against these. A row that is a pivot of all its lists has met every earlier candidate: it stays as soon as
-none of its earlier partners may, and the partners of a row that stays go. Pivots are eight times as many from round to round,
-so the number of rounds is a logarithm of the longest list; rows that went take no further part.
-
-Shingles are compared as 64-bit hashes. Empty sets are similar to nothing. A threshold of 1.0 still drops equal sets; one of 0
-or less leaves the first row alone.
+the first of them: its fate is that of all. A set can reach the threshold with another one only if few of its shingles are its
+own: those are counted on the shingles of the lowest hashes, a share of all that is the same everywhere, so a count is never too
+high. Sets with too many of their own are left out (they stay); only the others' shingles move, in full.
+
+Of these sets, pairs that can reach the threshold share a shingle in the rare-first prefix of both, so rows are listed by prefix
+shingle. In a round each list names its first rows as pivots, and all its rows are tested against these. A row that is a pivot of
+all its lists has met every earlier candidate: it stays as soon as none of its earlier partners may, and the partners of a row
+that stays go. Pivots are eight times as many from round to round, so the number of rounds is a logarithm of the longest list;
+rows that went take no further part.
+
+Shingles are compared as 64-bit hashes, whole sets by 128 bits. Empty sets are similar to nothing. A threshold of 1.0 still
+drops equal sets; one of 0 or less leaves the first row alone.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracemill.functions.text import strip
-from tracemill.operators.joins import salted_left_join, spread_join
-from tracemill.session import stable
+from tracemill.operators.joins import narrowed, salted_left_join, spread_join
+from tracemill.session import ship, small_batches, stable
+
+try:
+    from xxhash import xxh3_64_intdigest as _hash
+except ModuleNotFoundError:  # slower
+
+    def _hash(word: str) -> int:
+        return int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little")
+
 
 SHINGLE = 5
 #: Pivots of a list in the first round.
 PIVOTS = 64
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: str.split() takes these for white space, the regex (?U)\s doesn't.
+_NO_SPACE = re.compile("[\x1c-\x1f]")
+_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 TOOL_BLOCK = r"(?is)<(output|tool_result|tool_call|function_calls)>.*?</\1>"
 
 
@@ -33,15 +55,41 @@ def signature(msgs: Column) -> Column:
     return F.array_join(F.transform(F.filter(lines, lambda x: x["t"] != ""), lambda x: F.concat_ws(":", x["r"], x["t"])), "\n")
 
 
-def words(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"(?U)\s+"), lambda w: w != "")
+def shingles(text: str | None, k: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the k-word windows; of all words when there are fewer."""
+    words = [w for w in _SPACE.split(text) if w] if text and _NO_SPACE.search(text) else (text or "").split()
+    size = min(k, len(words))
+    if not size:
+        return np.empty(0, np.int64)
+    hashes = np.fromiter(map(_hash, words), np.uint64, len(words))
+    count = len(words) - size + 1
+    rolled = np.full(count, size, np.uint64)
+    for i in range(size):
+        rolled = (rolled ^ hashes[i : i + count]) * _MIX
+        rolled ^= rolled >> np.uint64(29)
+    out = np.sort(rolled.view(np.int64))
+    return out[np.append(True, out[1:] != out[:-1])]
+
+
+def _mapped(rows: DataFrame, text: str, idx: str, make: Callable[[list[np.ndarray]], list[pa.Array]], schema: str, name: str) -> DataFrame:
+    """idx and what make gives for the shingle sets of a few MB of texts."""
+    ship(rows.sparkSession)
+    names = ["idx", *[c.split()[0] for c in schema.split(", ")]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), *make([shingles(v.as_py()) for v in batch.column(1)])], names)
+
+    with small_batches(rows.sparkSession):
+        return stable(rows.select(F.col(idx).alias("idx"), F.col(text).alias("text")).mapInArrow(run, f"idx {rows.schema[idx].dataType.simpleString()}, {schema}"), name)
 
 
-def shingles(text: Column, k: int = SHINGLE) -> Column:
-    """Distinct hashes of the k-word windows; of all words when there are fewer."""
-    w = words(text)
-    return F.transform(F.array(w), lambda v: F.array_distinct(F.when(F.size(v) == 0, F.array().cast("array<bigint>")).when(F.size(v) < k, F.array(F.xxhash64(F.array_join(v, " ")))).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(F.size(v) - (k - 1), F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(v, i, F.lit(k)), " "))))))[0]
+def _lists(sets: list[np.ndarray]) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *sets]), pa.int64()))
+
+
+def _sizes(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array([len(s) for s in sets], pa.int32())
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -49,61 +97,106 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(both / F.nullif(F.size(a) + F.size(b) - both, F.lit(0)))
 
 
+def room(n: Column, t: float) -> Column:
+    """So many shingles of a set of n may be missing in one that is as similar as t."""
+    return n - F.ceil(F.lit(t) * n - 1e-9).cast("int")
+
+
+def digests(rows: DataFrame, text: str, idx: str, share: float = 0.0) -> DataFrame:
+    """idx, n, c, d (a hash of the shingle set, in two numbers), part: the share of shingles of the lowest hashes."""
+    low = np.int64(int(-(1 << 63) + min(share, 1.0) * ((1 << 64) - 2048)))
+
+    def make(sets: list[np.ndarray]) -> list[pa.Array]:
+        both = np.frombuffer(b"".join(blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2)
+        return [_sizes(sets), pa.array(both[:, 0]), pa.array(both[:, 1]), _lists([s[: np.searchsorted(s, low)] for s in sets])]
+
+    return _mapped(rows, text, idx, make, "n int, c bigint, d bigint, part array<bigint>", "dedup-digests")
+
+
+def firsts(made: DataFrame) -> DataFrame:
+    """idx (the least), n, c, d, m (how many rows) of each set that isn't empty."""
+    return stable(made.where("n > 0").groupBy("c", "d").agg(F.min("idx").alias("idx"), F.first("n").alias("n"), F.count(F.lit(1)).alias("m")), "dedup-firsts")
+
+
+def suspects(made: DataFrame, first: DataFrame, t: float) -> DataFrame:
+    """idx of the sets that aren't known to be alone: of their part, not more shingles are theirs only than may be missing."""
+    seen = made.where("n > 0").select("c", F.explode("part").alias("h")).groupBy("h").agg(F.min("c").alias("c"), F.max("c").alias("z"))
+    own = seen.where("c = z").groupBy("c").agg(F.count(F.lit(1)).alias("own"))
+    return stable(first.join(own, "c", "left").where(F.coalesce("own", F.lit(0)) <= room(F.col("n"), t)).select("idx"), "dedup-suspects")
+
+
+def candidates(rows: DataFrame, t: float, text: str, idx: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(digests of all rows, firsts, sets: idx, n, s of the firsts that may be as similar as t to another)."""
+    made = digests(rows, text, idx, max(0.1, 2.2 * (1 - t)))
+    first = firsts(made)
+    chosen = narrowed(rows.select(F.col(idx).alias("idx"), F.col(text).alias("text")), suspects(made, first, t), "idx")
+    return made, first, _mapped(chosen, "text", "idx", lambda sets: [_sizes(sets), _lists(sets)], "n int, s array<bigint>", "dedup-sets")
+
+
 def prefixes(sets: DataFrame, t: float) -> DataFrame:
-    """h, idx: the rare-first prefix of each set (idx, n, s), shingles that no other set has left out."""
+    """h, idx, n: the rare-first prefix of each set (idx, n, s), shingles that no other set has left out."""
     each = sets.select("idx", "n", F.explode("s").alias("h"))
     shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").withColumn("weight", F.col("c"))
     total = sets.agg(F.sum("n")).first()[0] or 0
     mine = salted_left_join(each, shared, "h", "weight", total).where("c is not null").groupBy("idx", "n").agg(F.sort_array(F.collect_list(F.struct("c", "h"))).alias("l"))
-    room = F.col("n") - F.ceil(F.lit(t) * F.col("n") - 1e-9).cast("int") + 1 - (F.col("n") - F.size("l"))
-    return mine.withColumn("room", room).where("room > 0").select("idx", F.explode(F.slice("l", F.lit(1), F.col("room"))).alias("x")).select(F.col("x.h").alias("h"), "idx")
+    left = room(F.col("n"), t) + 1 - (F.col("n") - F.size("l"))
+    return mine.withColumn("room", left).where("room > 0").select("idx", "n", F.explode(F.slice("l", F.lit(1), F.col("room"))).alias("x")).select(F.col("x.h").alias("h"), "idx", "n")
+
 
+def classes(rows: DataFrame, text: str = "text", idx: str = "doc_id") -> DataFrame:
+    """idx, class_id, class_size of the rows that have shingles. Rows of one shingle set are a class, named by its least row."""
+    made = digests(rows, text, idx).where("n > 0").select("idx", F.struct("c", "d").alias("cls"))
+    named = firsts_named(made)
+    return salted_left_join(made, named, "cls", "weight", made.count()).select(F.col("idx").alias(idx), "class_id", "class_size")
 
-def classes(rows: DataFrame, text: str = "text", idx: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """(membership: idx, class_id, class_size; representatives: idx, n, s). Rows of one shingle set are a class, named by its least row."""
-    made = rows.select(F.col(idx).alias("idx"), F.sort_array(shingles(F.col(text))).alias("s"))
-    made = stable(made.select("idx", "s", F.size("s").alias("n"), F.sha2(F.array_join("s", ","), 256).alias("cls")).where("n > 0"), "class-sets")
-    firsts = stable(made.groupBy("cls").agg(F.min("idx").alias("idx"), F.count(F.lit(1)).alias("m"), F.first("n").alias("n"), F.first("s").alias("s")), "class-firsts")
-    named = firsts.select("cls", F.col("idx").alias("class_id"), F.col("m").alias("class_size"), F.col("m").alias("weight"))
-    membership = salted_left_join(made.select("idx", "cls"), named, "cls", "weight", made.count()).select(F.col("idx").alias(idx), "class_id", "class_size")
-    return membership, firsts.select("idx", "n", "s")
+
+def firsts_named(made: DataFrame) -> DataFrame:
+    """cls, class_id, class_size, weight of each class."""
+    return stable(made.groupBy("cls").agg(F.min("idx").alias("class_id"), F.count(F.lit(1)).alias("class_size")).withColumn("weight", F.col("class_size")), "class-firsts")
 
 
 def sized(lists: DataFrame, name: str) -> DataFrame:
-    """Lists (h, idx) of two rows or more, with their size."""
-    lists = stable(lists.select("h", "idx"), name)
+    """Lists (h, idx, n) of two rows or more, with their size."""
+    lists = stable(lists.select("h", "idx", "n"), name)
     sizes = lists.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumn("weight", F.col("size"))
     return stable(salted_left_join(lists, sizes, "h", "weight", lists.count()).where("size is not null"), name)
 
 
-def pairs(sets: DataFrame, t: float) -> DataFrame:
-    """a, b (a < b), jaccard of all pairs of class representatives (idx, n, s) that reach t."""
-    lists = sized(prefixes(sets, t), "pairs-lists")
-    found = spread_join(lists.withColumnRenamed("idx", "a"), lists.withColumnRenamed("idx", "b"), "h", "a").where("a < b").select("a", "b").distinct()
+def alike(n: str, m: str, t: float) -> Column:
+    """Whether sets of so many shingles can be as similar as t."""
+    return F.least(n, m) >= F.lit(t) * F.greatest(n, m) - 1e-9
+
+
+def tested(met: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
+    """a, b and the jaccard of these pairs."""
     side = lambda c: sets.select(F.col("idx").alias(c), F.col("s").alias(f"s_{c}"))
-    return found.join(side("a"), "a").join(side("b"), "b").select("a", "b", jaccard(F.col("s_a"), F.col("s_b")).alias("jaccard")).where(F.col("jaccard") >= t)
+    return met.join(side(a), a).join(side(b), b).select(a, b, jaccard(F.col(f"s_{a}"), F.col(f"s_{b}")).alias("jaccard"))
+
+
+def pairs(rows: DataFrame, t: float, text: str = "text", idx: str = "doc_id") -> DataFrame:
+    """a, b (a < b), jaccard of all pairs of the classes' least rows that reach t."""
+    _, _, sets = candidates(rows, t, text, idx)
+    lists = sized(prefixes(sets, t), "pairs-lists")
+    mine = lists.withColumnsRenamed({"idx": "a", "n": "n_a"})
+    found = stable(spread_join(mine, lists.withColumnsRenamed({"idx": "b", "n": "n_b"}), "h", "a").where((F.col("a") < F.col("b")) & alike("n_a", "n_b", t)).select("a", "b").distinct(), "pairs-found")
+    return tested(found, sets, "a", "b").where(F.col("jaccard") >= t)
 
 
 def keep_first(rows: DataFrame, max_similarity: float = 0.92, text: str = "text", idx: str = "doc_id") -> DataFrame:
     """idx of the kept rows. idx must be unique; it gives the order."""
     if max_similarity <= 0:
         return rows.agg(F.min(idx).alias(idx)).where(F.col(idx).isNotNull())
-    made = stable(rows.select(F.col(idx).alias("idx"), shingles(F.col(text)).alias("s")).withColumn("n", F.size("s")), "dedup-sets")
+    made, first, sets = candidates(rows, max_similarity, text, idx)
     empty = made.where("n = 0").select("idx")
-    firsts = made.where("n > 0").groupBy("n", F.sort_array("s").alias("s")).agg(F.min("idx").alias("idx"))
-    sets = stable(firsts.select("idx", "n", "s"), "dedup-firsts")
-    side = lambda c: sets.select(F.col("idx").alias(c), F.col("n").alias(f"n_{c}"), F.col("s").alias(f"s_{c}"))
     dropped: list[DataFrame] = []
     lists, most = sized(prefixes(sets, max_similarity), "dedup-lists"), PIVOTS
     while not lists.isEmpty():
         nth = F.row_number().over(Window.partitionBy("h").orderBy("idx"))  # only the first few: grouped limits are taken before the shuffle
-        pivots = stable(lists.withColumn("nth", nth).where(F.col("nth") <= most).select("h", F.col("idx").alias("k"), "size"), "dedup-pivots")
+        pivots = stable(lists.withColumn("nth", nth).where(F.col("nth") <= most).select("h", F.col("idx").alias("k"), F.col("n").alias("n_k"), "size"), "dedup-pivots")
         led = pivots.groupBy(F.col("k").alias("idx")).agg(F.count(F.lit(1)).alias("led"))
         ready = stable(lists.groupBy("idx").agg(F.count(F.lit(1)).alias("all")).join(led, "idx").where("led = all").select("idx"), "dedup-ready")
-        met = spread_join(lists, pivots, "h", "idx").where("k < idx").select("idx", "k").distinct()
-        sizes = met.join(side("idx").drop("s_idx"), "idx").join(side("k").drop("s_k"), "k").where(F.least("n_idx", "n_k") >= F.lit(max_similarity) * F.greatest("n_idx", "n_k") - 1e-9)
-        tested = sizes.select("idx", "k").join(side("idx"), "idx").join(side("k"), "k")
-        partners = stable(tested.where(jaccard(F.col("s_idx"), F.col("s_k")) >= max_similarity).select("idx", "k"), "dedup-partners")
+        met = spread_join(lists, pivots, "h", "idx").where((F.col("k") < F.col("idx")) & alike("n", "n_k", max_similarity)).select("idx", "k").distinct()
+        partners = stable(tested(met, sets, "idx", "k").where(F.col("jaccard") >= max_similarity).select("idx", "k"), "dedup-partners")
         decided: DataFrame | None = None
         while True:
             stays = stable(ready.join(partners.select("idx").distinct(), "idx", "left_anti"), "dedup-stays")
@@ -117,7 +210,7 @@ def keep_first(rows: DataFrame, max_similarity: float = 0.92, text: str = "text"
             ready = stable(ready.join(done, "idx", "left_anti"), "dedup-ready")
         lists = sized(lists.join(decided, "idx", "left_anti"), "dedup-lists")
         most *= 8
-    kept = sets.select("idx")
+    kept = first.select("idx")
     for gone in dropped:
         kept = kept.join(gone, "idx", "left_anti")
     return kept.union(empty).select(F.col("idx").alias(idx))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.session import parallelism, stable
@@ -40,6 +40,26 @@ def spread_join(rows: DataFrame, others: DataFrame, key: str, by: str, size: str
     return left.join(right, [key, "__tm_salt"]).drop("__tm_salt")
 
 
+def bits_for(keys: int) -> int:
+    """Bits of a bitmap that tells so many keys apart: 16 a key, 64 MB at most, so its broadcast is bounded."""
+    return 1 << min(29, max(20, (16 * keys).bit_length()))
+
+
+def spotted(rows: DataFrame, spot: Column, keys: DataFrame, place: Column) -> DataFrame:
+    """rows with __tm_known: false only where spot (from 0) is no place of keys."""
+    bitmap = keys.select(place.alias("__tm_place")).groupBy(F.bitmap_bucket_number(F.col("__tm_place") + 1).alias("__tm_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("__tm_place") + 1)).alias("__tm_bits"))  # at most 16,384 rows of 4 KB
+    marked = rows.withColumn("__tm_spot", spot).withColumn("__tm_bucket", F.bitmap_bucket_number(F.col("__tm_spot") + 1)).join(F.broadcast(bitmap), "__tm_bucket", "left")
+    bit = F.expr("shiftright(cast(conv(hex(substring(__tm_bits, cast(__tm_spot % 32768 div 8 as int) + 1, 1)), 16, 10) as int), cast(__tm_spot % 8 as int)) & 1")
+    return marked.withColumn("__tm_known", F.coalesce(bit == 1, F.lit(False))).drop("__tm_bits", "__tm_spot", "__tm_bucket")
+
+
+def narrowed(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """rows left semi join keys on key; what a bitmap of keys doesn't know is left out before the shuffle."""
+    keys = stable(keys.select(key), "narrowed")
+    spot = F.pmod(F.xxhash64(key), F.lit(bits_for(keys.count())))
+    return spotted(rows, spot, keys, spot).where("__tm_known").drop("__tm_known").join(keys, key, "left_semi").select(*rows.columns)
+
+
 def without(docs: DataFrame, doc_id: str, mark, verdict: DataFrame) -> DataFrame:
     """docs, all columns, without what verdict (doc_id, mark, kept) refuses; verdict may leave out rows that stay anyway.
 

@@ -9,10 +9,14 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of rows that go to Python at once.
+MOVED = 4 << 20
 _PACKAGE = Path(__file__).resolve().parent
 _shipped: set[str] = set()
 _written: list[tuple[SparkSession, str]] = []
@@ -78,6 +82,18 @@ def _release_all() -> None:
             _written[:] = [x for x in _written if x[0] is not spark]
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows go to Python a few MB at a time; what is run inside has this setting."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(MOVED))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def parallelism(spark: SparkSession) -> int:
     """Partitions for a shuffle that adaptive execution mustn't merge."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
