@@ -15,7 +15,7 @@ from tracemill.operators import dedup, process, prompts, qaqc, quality, redact
 from tracemill.operators.chat import ChatBackend
 from tracemill.plans import report as reports
 from tracemill.plans.report import RunStats
-from tracemill.session import ship, stable
+from tracemill.session import ship, small_batches, stable
 from tracemill.sources import export
 from tracemill.sources import traces as T
 
@@ -72,7 +72,12 @@ class Curated:
 
 
 def curate(traces: DataFrame, options: Options) -> Curated:
-    """All steps but files, on trace_idx, raw."""
+    """All steps but files, on trace_idx, raw. Traces go to Python a few MB at a time, so a worker's memory doesn't grow with the input."""
+    with small_batches(traces.sparkSession):
+        return _curate(traces, options)
+
+
+def _curate(traces: DataFrame, options: Options) -> Curated:
     mode = process.resolve_mode(options.mode)
     found = T.spans(traces)
     results = stable(process.process(found, mode, options.level, options.make_chat, options.seqs, options.retries), "processed")
