@@ -1,11 +1,14 @@
 import random
 import re
 import time
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
 
 from tracemill.operators import dedup, quality, redact
+from tracemill.session import stable
 
 
 @pytest.mark.parametrize(
@@ -167,3 +170,10 @@ def test_scores(spark):
 )
 def test_error_class(spark, text, error):
     assert scored(spark, [], text).error == error
+
+
+def test_tables_that_end_lineage_have_no_checksum_files(spark):
+    # each file made in a local folder costs an executor a process
+    table = stable(spark.range(1000).repartition(3), "plain")
+    folder = Path(urlparse(table.inputFiles()[0]).path).parent
+    assert table.count() == 1000 and not list(folder.glob(".*.crc"))

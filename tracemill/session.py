@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of rows that go to Python at once.
 MOVED = 4 << 20
+#: No checksum file beside each file of a local folder (parquet has checksums of its own). Hadoop starts a process for the mode of
+#: every local file, and until that process runs its own program, it counts as another copy of the executor's memory.
+_PLAIN = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 _PACKAGE = Path(__file__).resolve().parent
 _shipped: set[str] = set()
 _written: list[tuple[SparkSession, str]] = []
@@ -57,7 +60,7 @@ def stable(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there and a lost executor costs nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**_PLAIN).parquet(path)
     _written.append((spark, path))
     if not _at_exit:  # registered after Spark's own hook, so it runs before that
         _at_exit.append(True)
