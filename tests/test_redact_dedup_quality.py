@@ -177,3 +177,34 @@ def test_tables_that_end_lineage_have_no_checksum_files(spark):
     table = stable(spark.range(1000).repartition(3), "plain")
     folder = Path(urlparse(table.inputFiles()[0]).path).parent
     assert table.count() == 1000 and not list(folder.glob(".*.crc"))
+
+
+def test_pairs_that_sketches_tell_apart_are_not_held_against_the_sets(spark, monkeypatch):
+    r, t = random.Random(5), 0.92
+    base = [f"w{i}" for i in range(400)]
+    codes = r.sample(range(1 << 10), 60)
+    texts = [" ".join(f"{w}{'x' if i % 40 == 20 and code >> i // 40 & 1 else ''}" for i, w in enumerate(base)) for code in codes]  # 10 places, two words each
+    sets = [set(dedup.shingles(x).tolist()) for x in texts]
+    expected = {(a, b) for b in range(60) for a in range(b) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= t}
+    met = []
+    tested = dedup.tested
+    monkeypatch.setattr(dedup, "tested", lambda pairs, *rest: met.append(pairs.count()) or tested(pairs, *rest))
+    rows = dedup.pairs(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), t).collect()
+    assert {(x.a, x.b) for x in rows} == expected and 0 < len(expected) < 700
+    assert met[0] <= 1.2 * len(expected)  # 1,770 pairs share a listed shingle
+
+
+@pytest.mark.parametrize("t", [0.3, 0.7, 0.92, 1.0])
+def test_sketches_let_every_pair_that_reaches_the_threshold_pass(spark, t):
+    r = random.Random(9)
+    sets = []
+    for n in (1, 2, 5, 30, 400, 5000):
+        whole = [r.getrandbits(63) for _ in range(n)]
+        sets += [whole, *([h for h in whole if r.random() < keep] + [r.getrandbits(63) for _ in range(int(n * more))] for keep, more in ((0.99, 0.01), (0.95, 0), (0.9, 0.02), (0.6, 0.1)))]
+    made = [dedup.np.array(sorted(s), dedup.np.int64) for s in sets]
+    rows = [(i, len(s), tuple(b.values())) for i, (s, b) in enumerate(zip(sets, dedup._sketches(made).to_pylist(), strict=True))]
+    left = spark.createDataFrame(rows, f"i int, n int, bits struct<{','.join(f'b{i}:bigint' for i in range(dedup._SKETCH))}>")
+    met = left.crossJoin(left.withColumnsRenamed({"i": "j", "n": "m", "bits": "others"})).where(dedup.alike("n", "m", "bits", "others", t))
+    passed = {(x.i, x.j) for x in met.select("i", "j").collect()}
+    whole = [set(s) for s in sets]
+    assert {(i, j) for i, a in enumerate(whole) for j, b in enumerate(whole) if a and b and len(a & b) / len(a | b) >= t} <= passed

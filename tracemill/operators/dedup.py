@@ -6,7 +6,8 @@ own: those are counted on the shingles of the lowest hashes, a share of all that
 high. Sets with too many of their own are left out (they stay); only the others' shingles move, in full.
 
 Of these sets, pairs that can reach the threshold share a shingle in the rare-first prefix of both, so rows are listed by prefix
-shingle. In a round each list names its first rows as pivots, and all its rows are tested against these. A row that is a pivot of
+shingle. Each listed row has a sketch: whether the number of its shingles in each of 512 classes of hashes is odd. Two sets differ
+in as many shingles as their sketches in bits, at least; pairs whose sketches differ too much are never held against the sets. In a round each list names its first rows as pivots, and all its rows are tested against these. A row that is a pivot of
 all its lists has met every earlier candidate: it stays as soon as none of its earlier partners may, and the partners of a row
 that stays go. Pivots are eight times as many from round to round, so the number of rounds is a logarithm of the longest list;
 rows that went take no further part.
@@ -19,7 +20,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import reduce
 from hashlib import blake2b
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,8 @@ except ModuleNotFoundError:  # slower
 SHINGLE = 5
 #: Pivots of a list in the first round.
 PIVOTS = 64
+#: 64-bit numbers of a sketch.
+_SKETCH = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: str.split() takes these for white space, the regex (?U)\s doesn't.
 _NO_SPACE = re.compile("[\x1c-\x1f]")
@@ -92,6 +97,12 @@ def _sizes(sets: list[np.ndarray]) -> pa.Array:
     return pa.array([len(s) for s in sets], pa.int32())
 
 
+def _sketches(sets: list[np.ndarray]) -> pa.Array:
+    odd = np.array([np.bincount(s & (64 * _SKETCH - 1), minlength=64 * _SKETCH) & 1 for s in sets], np.uint8).reshape(-1, 64 * _SKETCH)
+    numbers = np.packbits(odd, axis=1).view(np.int64)
+    return pa.StructArray.from_arrays([pa.array(numbers[:, i]) for i in range(_SKETCH)], [f"b{i}" for i in range(_SKETCH)])
+
+
 def jaccard(a: Column, b: Column) -> Column:
     both = F.size(F.array_intersect(a, b))
     return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(both / F.nullif(F.size(a) + F.size(b) - both, F.lit(0)))
@@ -126,11 +137,11 @@ def suspects(made: DataFrame, first: DataFrame, t: float) -> DataFrame:
 
 
 def candidates(rows: DataFrame, t: float, text: str, idx: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(digests of all rows, firsts, sets: idx, n, s of the firsts that may be as similar as t to another)."""
+    """(digests of all rows, firsts, sets: idx, n, s, bits (the sketch) of the firsts that may be as similar as t to another)."""
     made = digests(rows, text, idx, max(0.1, 2.2 * (1 - t)))
     first = firsts(made)
     chosen = narrowed(rows.select(F.col(idx).alias("idx"), F.col(text).alias("text")), suspects(made, first, t), "idx")
-    return made, first, _mapped(chosen, "text", "idx", lambda sets: [_sizes(sets), _lists(sets)], "n int, s array<bigint>", "dedup-sets")
+    return made, first, _mapped(chosen, "text", "idx", lambda sets: [_sizes(sets), _lists(sets), _sketches(sets)], f"n int, s array<bigint>, bits struct<{','.join(f'b{i}:bigint' for i in range(_SKETCH))}>", "dedup-sets")
 
 
 def prefixes(sets: DataFrame, t: float) -> DataFrame:
@@ -155,20 +166,23 @@ def firsts_named(made: DataFrame) -> DataFrame:
     return stable(made.groupBy("cls").agg(F.min("idx").alias("class_id"), F.count(F.lit(1)).alias("class_size")).withColumn("weight", F.col("class_size")), "class-firsts")
 
 
-def sized(lists: DataFrame, name: str) -> DataFrame:
-    """Lists (h, idx, n) of two rows or more, with their size."""
+def sized(lists: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+    """Lists (h, idx, n) of two rows or more, with their size and the rows' sketches."""
     lists = stable(lists.select("h", "idx", "n"), name)
     sizes = lists.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumn("weight", F.col("size"))
-    return stable(salted_left_join(lists, sizes, "h", "weight", lists.count()).where("size is not null"), name)
+    listed = salted_left_join(lists, sizes, "h", "weight", lists.count()).where("size is not null")
+    return stable(listed.join(sets.select("idx", "bits"), "idx"), name)
 
 
-def alike(n: str, m: str, t: float) -> Column:
-    """Whether sets of so many shingles can be as similar as t."""
-    return F.least(n, m) >= F.lit(t) * F.greatest(n, m) - 1e-9
+def alike(n: str, m: str, bits: str, others: str, t: float) -> Column:
+    """Whether sets of so many shingles and such sketches can be as similar as t."""
+    differ = reduce(add, [F.bit_count(F.col(f"{bits}.b{i}").bitwiseXOR(F.col(f"{others}.b{i}"))) for i in range(_SKETCH)])
+    return (F.least(n, m) >= F.lit(t) * F.greatest(n, m) - 1e-9) & (differ <= F.lit((1 - t) / (1 + t)) * (F.col(n) + F.col(m)) + 1e-6)
 
 
 def tested(met: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
-    """a, b and the jaccard of these pairs."""
+    """a, b and the jaccard of these pairs, which must be cheap to read again. Only sets that occur in a pair are moved."""
+    sets = narrowed(sets.select("idx", "s"), met.select(F.col(a).alias("idx")).union(met.select(b)).distinct(), "idx")
     side = lambda c: sets.select(F.col("idx").alias(c), F.col("s").alias(f"s_{c}"))
     return met.join(side(a), a).join(side(b), b).select(a, b, jaccard(F.col(f"s_{a}"), F.col(f"s_{b}")).alias("jaccard"))
 
@@ -176,9 +190,9 @@ def tested(met: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
 def pairs(rows: DataFrame, t: float, text: str = "text", idx: str = "doc_id") -> DataFrame:
     """a, b (a < b), jaccard of all pairs of the classes' least rows that reach t."""
     _, _, sets = candidates(rows, t, text, idx)
-    lists = sized(prefixes(sets, t), "pairs-lists")
-    mine = lists.withColumnsRenamed({"idx": "a", "n": "n_a"})
-    found = stable(spread_join(mine, lists.withColumnsRenamed({"idx": "b", "n": "n_b"}), "h", "a").where((F.col("a") < F.col("b")) & alike("n_a", "n_b", t)).select("a", "b").distinct(), "pairs-found")
+    lists = sized(prefixes(sets, t), sets, "pairs-lists")
+    named = lambda c: lists.withColumnsRenamed({"idx": c, "n": f"n_{c}", "bits": f"bits_{c}"})
+    found = stable(spread_join(named("a"), named("b"), "h", "a").where((F.col("a") < F.col("b")) & alike("n_a", "n_b", "bits_a", "bits_b", t)).select("a", "b").distinct(), "pairs-found")
     return tested(found, sets, "a", "b").where(F.col("jaccard") >= t)
 
 
@@ -189,13 +203,13 @@ def keep_first(rows: DataFrame, max_similarity: float = 0.92, text: str = "text"
     made, first, sets = candidates(rows, max_similarity, text, idx)
     empty = made.where("n = 0").select("idx")
     dropped: list[DataFrame] = []
-    lists, most = sized(prefixes(sets, max_similarity), "dedup-lists"), PIVOTS
+    lists, most = sized(prefixes(sets, max_similarity), sets, "dedup-lists"), PIVOTS
     while not lists.isEmpty():
         nth = F.row_number().over(Window.partitionBy("h").orderBy("idx"))  # only the first few: grouped limits are taken before the shuffle
-        pivots = stable(lists.withColumn("nth", nth).where(F.col("nth") <= most).select("h", F.col("idx").alias("k"), F.col("n").alias("n_k"), "size"), "dedup-pivots")
+        pivots = stable(lists.withColumn("nth", nth).where(F.col("nth") <= most).select("h", F.col("idx").alias("k"), F.col("n").alias("n_k"), F.col("bits").alias("bits_k"), "size"), "dedup-pivots")
         led = pivots.groupBy(F.col("k").alias("idx")).agg(F.count(F.lit(1)).alias("led"))
         ready = stable(lists.groupBy("idx").agg(F.count(F.lit(1)).alias("all")).join(led, "idx").where("led = all").select("idx"), "dedup-ready")
-        met = spread_join(lists, pivots, "h", "idx").where((F.col("k") < F.col("idx")) & alike("n", "n_k", max_similarity)).select("idx", "k").distinct()
+        met = stable(spread_join(lists, pivots, "h", "idx").where((F.col("k") < F.col("idx")) & alike("n", "n_k", "bits", "bits_k", max_similarity)).select("idx", "k").distinct(), "dedup-met")
         partners = stable(tested(met, sets, "idx", "k").where(F.col("jaccard") >= max_similarity).select("idx", "k"), "dedup-partners")
         decided: DataFrame | None = None
         while True:
@@ -208,7 +222,7 @@ def keep_first(rows: DataFrame, max_similarity: float = 0.92, text: str = "text"
             decided = done if decided is None else decided.union(done)
             partners = stable(partners.join(done, "idx", "left_anti").join(done.select(F.col("idx").alias("k")), "k", "left_anti").select("idx", "k"), "dedup-partners")
             ready = stable(ready.join(done, "idx", "left_anti"), "dedup-ready")
-        lists = sized(lists.join(decided, "idx", "left_anti"), "dedup-lists")
+        lists = sized(lists.join(decided, "idx", "left_anti"), sets, "dedup-lists")
         most *= 8
     kept = first.select("idx")
     for gone in dropped:
