@@ -3,12 +3,14 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm.common import EDGE, frame, near_copies, prose
+from tracemill import session
 from tracemill.llm import exact_dedup, near_dedup, sharding
 
 
@@ -66,6 +68,17 @@ def test_drop_copies_keeps_columns_and_one_row(spark):
     assert exact_dedup.drop_copies(docs.limit(0)).count() == 0
 
 
+def test_few_keys_take_few_files(spark):
+    """An executor starts a process for each file, which can count as memory: one shard for few keys, no table of what is read once."""
+    docs, before = frame(spark, [(i, f"text number {i % 300} of some") for i in range(1000)]), len(session._written)
+    kept = {(r.doc_id, r.text) for r in exact_dedup.drop_copies(docs).collect()}
+    assert kept == {(i, f"text number {i} of some") for i in range(300)}
+    assert near_dedup.drop_near(docs).count() == 300
+    paths = [Path(path.removeprefix("file://")) for _, path in session._written[before:]]
+    assert not [p for p in paths if p.name.startswith(("dedup-copies-", "neardup-verdict-"))]
+    assert [len(list(p.glob("part-*"))) for p in paths if p.name.startswith("dedup-keys-")] == [1]
+
+
 def test_index_takes_documents_in_and_out(spark):
     a, b = frame(spark, [(1, "x"), (2, "y"), (3, "x")]), frame(spark, [(4, "z"), (0, "x")])
     index = exact_dedup.insert(exact_dedup.insert(None, a), b)

@@ -33,6 +33,8 @@ KEYS = "digest binary, keep_id bigint, live bigint, at_keep bigint"
 _FLUSH = 500_000
 #: Keys to an index shard, which is held in memory (about 250 bytes a key).
 _SHARD = 1_000_000
+#: Keys that are worth a shard of their own: fewer make no task and no file.
+_LEAST = 10_000
 
 
 def normalised(text: Column) -> Column:
@@ -197,12 +199,15 @@ def _fold_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from index.batches()
 
 
-def index_shards(partial: DataFrame, deleted: DataFrame | None = None, keys: int = 0) -> DataFrame:
-    """Merge partial keys, then delete; each shard of the digest space is one cuckoo index. keys: how many there may be."""
+def index_shards(partial: DataFrame, deleted: DataFrame | None = None, keys: int | None = None) -> DataFrame:
+    """Merge partial keys, then delete; each shard of the digest space is one cuckoo index. keys: how many there may be, if known."""
     rows = partial.select("digest", "keep_id", "live", "at_keep", F.lit(0).alias("kind"))
     if deleted is not None:
         rows = rows.unionByName(deleted.select("digest", "keep_id", "live", "at_keep", F.lit(1).alias("kind")))
-    rows = rows.repartition(max(parallelism(partial.sparkSession), keys // _SHARD + 1), "digest")
+    shards = parallelism(partial.sparkSession)
+    if keys is not None:
+        shards = max(min(shards, keys // _LEAST + 1), keys // _SHARD + 1)
+    rows = rows.repartition(shards, "digest")
     return (rows.sortWithinPartitions("kind") if deleted is not None else rows).mapInArrow(_fold_keys, KEYS)
 
 
@@ -253,5 +258,5 @@ def drop_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     Only copies are named in the join, by id and digest, so that it isn't skewed by a large group.
     """
     rows = stable(digests(docs, text, doc_id), "dedup-digests")
-    verdict = stable(assign(rows).where("group_size > 1").select("doc_id", F.col("digest").alias("mark"), "kept"), "dedup-copies")
+    verdict = assign(rows).where("group_size > 1").select("doc_id", F.col("digest").alias("mark"), "kept")  # read once
     return without(docs, doc_id, digest(F.col(f"`{text}`")), verdict)

@@ -406,7 +406,7 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
 
 def drop_near(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents, all columns, one of each component: that with the smallest id."""
-    verdict = stable(groups(docs, text, doc_id).where("n_shingles > 0").select("doc_id", "mark", "kept"), "neardup-verdict")
+    verdict = groups(docs, text, doc_id).where("n_shingles > 0").select("doc_id", "mark", "kept")  # read once
     return without(docs, doc_id, F.xxhash64(F.col(f"`{text}`")), verdict)
 
 
